@@ -20,8 +20,9 @@ def to_number(col, default=None, kind="double") -> Column:
 
 
 def safe_ratio(num, den, digits=4) -> Column:
-    """Ratio rounded to ``digits``; 0 when the denominator is not positive."""
-    return F.when(_col(den) > 0, F.round(F.try_divide(_col(num), _col(den)), digits)).otherwise(F.lit(0.0))
+    """Ratio rounded to ``digits`` (None: not rounded); 0 when the denominator is not positive."""
+    ratio = F.try_divide(_col(num), _col(den))
+    return F.when(_col(den) > 0, ratio if digits is None else F.round(ratio, digits)).otherwise(F.lit(0.0))
 
 
 def ratio_or_null(num, den) -> Column:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from shoptally.functions.dates import parse_date
 from shoptally.functions.numbers import to_number
 from shoptally.functions.text import payment_label
-from shoptally.operators.ranks import with_bucket
+from shoptally.operators.ranks import split_points, with_bucket
 from shoptally.schemas import require
 
 NO_DESCRIPTION = "SIN DESCRIPCION"
@@ -89,7 +89,7 @@ def disambiguate_dates(df: DataFrame, order: str, date: str, series: Sequence[st
     d1, d2 = two_readings(date)
     read = df.withColumns({"_a": F.least(d1, d2), "_b": F.greatest(d1, d2)})
     rows = read.filter(F.col("_a").isNotNull()).select(*keys, order, "_a", "_b")
-    rows = with_bucket(rows, order)
+    rows = with_bucket(rows, order, split_points(rows, order))
 
     part = W.partitionBy(*keys, "bucket").orderBy(order)
     group = W.partitionBy(*keys) if keys else W.partitionBy(F.lit(0))

@@ -22,11 +22,12 @@ def fits_broadcast(df: DataFrame) -> bool:
     return 0 <= plan_bytes(df) <= broadcast_limit(df)
 
 
-def heavy_keys(df: DataFrame, key: str, share=HEAVY_SHARE) -> DataFrame:
-    """Keys holding more than ``share`` of the rows: at most ``1/share`` of them."""
-    counts = df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    total = df.agg(F.count(F.lit(1)))
-    return counts.filter(F.col("_n") > total.scalar() * F.lit(share)).select(key)
+def heavy_keys(df: DataFrame, key: str, share=HEAVY_SHARE) -> list:
+    """Keys holding more than ``share`` of the rows. Runs a job; at most ``1/share`` keys come back."""
+    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    total = counts.agg(F.sum("_n")).first()[0] or 0
+    heavy = counts.filter(F.col(key).isNotNull() & (F.col("_n") > F.lit(total * share)))
+    return [row[0] for row in heavy.select(key).collect()]
 
 
 def join_dimension(facts: DataFrame, dim: DataFrame, key: str, how="left", share=HEAVY_SHARE) -> DataFrame:
@@ -40,12 +41,12 @@ def join_dimension(facts: DataFrame, dim: DataFrame, key: str, how="left", share
         raise ValueError("how must be 'left' or 'inner'")
     if fits_broadcast(dim):
         return facts.join(F.broadcast(dim), key, how)
-    heavy = F.broadcast(heavy_keys(facts, key, share))
     keyed = facts.filter(F.col(key).isNotNull())
-    hot_dim = F.broadcast(dim.join(heavy, key, "left_semi"))
-    hot = keyed.join(heavy, key, "left_semi").join(hot_dim, key, how)
-    rest = keyed.join(heavy, key, "left_anti").join(dim, key, how)
-    joined = hot.unionByName(rest)
+    heavy = heavy_keys(keyed, key, share)
+    hot = F.col(key).isin(heavy)
+    joined = keyed.filter(~hot).join(dim, key, how)
+    if heavy:
+        joined = keyed.filter(hot).join(F.broadcast(dim.filter(hot)), key, how).unionByName(joined)
     if how == "left":
         added = {f.name: F.lit(None).cast(f.dataType) for f in dim.schema.fields if f.name != key}
         joined = joined.unionByName(facts.filter(F.col(key).isNull()).withColumns(added))

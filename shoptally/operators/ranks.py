@@ -5,6 +5,7 @@ cost one row however often it occurs. The counted values are cut into ordered bu
 points, running totals are taken inside each bucket, and the totals of the lower buckets are added.
 The split points come from the values with the smallest hashes: a balanced sample of distinct
 values that does not depend on how the data is partitioned, so a re-run task sees the same buckets.
+They are fetched when the query is built (one row of at most ``BUCKETS`` values) and enter the plan as constants.
 """
 
 from __future__ import annotations
@@ -25,27 +26,39 @@ def counted_values(df: DataFrame, value, by: Sequence[str] = (), weights: dict[s
     return df.groupBy(*by, value).agg(*sums)
 
 
-def with_bucket(counts: DataFrame, value: str, buckets=BUCKETS) -> DataFrame:
-    """Add ``bucket``: the number of split points at or below the value."""
+def split_points(counts: DataFrame, value: str, buckets=BUCKETS) -> list:
+    """Up to ``buckets - 1`` ordered split points, none when the whole table is no larger than the sample.
+
+    Runs a job and returns one bounded row.
+    """
+    limit = buckets * SAMPLES_PER_BUCKET
     sample = (
-        counts.select(F.col(value).alias("v"), F.xxhash64(value).alias("h"))
+        counts.filter(F.col(value).isNotNull())
+        .select(F.col(value).alias("v"), F.xxhash64(value).alias("h"))
         .orderBy("h", "v")
-        .limit(buckets * SAMPLES_PER_BUCKET)
-        .agg(F.array_sort(F.collect_list("v")).alias("sorted"))
+        .limit(limit)
+        .agg(F.count(F.lit(1)).alias("rows"), F.array_sort(F.collect_set("v")).alias("sorted"))
     )
-    splits = sample.select(
-        F.transform(
-            F.sequence(F.lit(1), F.lit(buckets - 1)),
-            lambda i: F.get("sorted", (i * F.size("sorted") / F.lit(buckets)).cast("int")),
-        )
+    chosen = F.transform(
+        F.sequence(F.lit(1), F.lit(buckets - 1)),
+        lambda i: F.get("sorted", (i * F.size("sorted") / F.lit(buckets)).cast("int")),
     )
+    picked = sample.select("rows", F.array_distinct(F.filter(chosen, lambda v: v.isNotNull())).alias("points")).first()
+    return picked["points"] if picked["rows"] == limit else []
+
+
+def with_bucket(counts: DataFrame, value: str, points: list, buckets=BUCKETS) -> DataFrame:
+    """Add ``bucket``: the number of split points at or below the value."""
+    if not points:
+        return counts.withColumn("bucket", F.lit(0))
+    splits = F.array(*[F.lit(p) for p in points])
     steps = F.array(*[F.lit(buckets >> k) for k in range(1, buckets.bit_length())])
     position = F.aggregate(
         steps,
         F.lit(0),
-        lambda low, step: low + F.when(F.get("_splits", low + step - 1) <= F.col(value), step).otherwise(0),
+        lambda low, step: low + F.when(F.get(splits, low + step - 1) <= F.col(value), step).otherwise(0),
     )
-    return counts.withColumn("_splits", splits.scalar()).withColumn("bucket", position).drop("_splits")
+    return counts.withColumn("bucket", position)
 
 
 def ordered_totals(
@@ -56,8 +69,16 @@ def ordered_totals(
     ``counts`` must hold one row per (``by``, ``value``). A group of any size is spread over the buckets;
     the only frames without a spread hold at most ``buckets`` rows per group.
     """
-    placed = with_bucket(counts, value, buckets)
+    points = split_points(counts, value, buckets)
+    placed = with_bucket(counts, value, points, buckets)
     group = list(by)
+    if not points:
+        before = W.partitionBy(*group, "bucket").orderBy(value).rowsBetween(W.unboundedPreceding, -1)
+        return placed.select(
+            *counts.columns,
+            *[F.coalesce(F.sum(w).over(before), F.lit(0)).alias(f"{w}_before") for w in weights],
+            *[F.sum(w).over(W.partitionBy(*group, "bucket")).alias(f"{w}_total") for w in weights],
+        )
     sums = placed.groupBy(*group, "bucket").agg(*[F.sum(w).alias(f"_{w}") for w in weights])
     whole = W.partitionBy(*group) if group else W.partitionBy(F.lit(0))
     lower = whole.orderBy("bucket").rowsBetween(W.unboundedPreceding, -1)
@@ -120,12 +141,10 @@ def melt(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ()) -> DataFram
     return wide.unpivot(list(by), list(cols), "column", "value").filter(F.col("value").isNotNull())
 
 
-def average_ranks(df: DataFrame, col: str) -> DataFrame:
-    """Distinct values of a column with their average rank (1-based), count and the number of rows."""
-    placed = ordered_totals(counted_values(df.filter(F.col(col).isNotNull()), col), col)
-    return placed.select(
-        col, "n", "n_total", (F.col("n_before") + (F.col("n") + 1) / F.lit(2.0)).alias("average_rank")
-    )
+def average_ranks(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """Distinct ``value`` of each ``column`` with its 1-based ``average_rank``."""
+    placed = ordered_totals(counted_values(melt(df, cols), "value", ["column"]), "value", by=["column"])
+    return placed.select("column", "value", (F.col("n_before") + (F.col("n") + 1) / F.lit(2.0)).alias("average_rank"))
 
 
 def positions(df: DataFrame, key: str, by: Sequence[str] = ()) -> DataFrame:

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from shoptally.operators.joins import join_dimension
 from shoptally.operators.ranks import average_ranks, counted_values, melt, modes, ordered_totals, quantiles
+from shoptally.session import checkpointed
 
 MAX_GRID = 512
 
@@ -138,7 +139,7 @@ def histogram(df: DataFrame, col: str, bins=10, integer=False) -> DataFrame:
         F.least(F.coalesce(slot, F.lit(0)), F.lit(bins - 1)).cast("long").alias("bin")
     )
     counts = placed.groupBy("bin").agg(F.count(F.lit(1)).alias("n"))
-    frame = ends.select("e", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).cast("long").alias("bin"))
+    frame = ends.select("e", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(bins - 1).cast("long"))).alias("bin"))
     return frame.join(counts, "bin", "left").select(
         "bin",
         (F.col("e.low") + F.col("bin") * F.col("e.width")).alias("lower"),
@@ -156,15 +157,12 @@ def kde(df: DataFrame, col: str, points=200, bandwidth: float | None = None, cut
     if points > MAX_GRID:
         raise ValueError(f"points must be at most {MAX_GRID}")
     counts = counted_values(df.select(F.col(col).cast("double").alias("v")).filter(F.col("v").isNotNull()), "v")
-    facts = counts.agg(
-        F.sum("n").alias("n"),
-        F.sum(F.col("n") * F.col("v")).alias("s"),
-        F.min("v").alias("low"),
-        F.max("v").alias("high"),
+    facts = df.agg(
+        F.count(col).alias("n"),
+        F.stddev_samp(col).alias("std"),
+        F.min(col).cast("double").alias("low"),
+        F.max(col).cast("double").alias("high"),
     )
-    centre = facts.select(F.col("s") / F.col("n"))
-    squares = counts.agg(F.sum(F.col("n") * F.pow(F.col("v") - centre.scalar(), 2)))
-    facts = facts.withColumn("std", F.sqrt(squares.scalar() / (F.col("n") - 1)))
     width = F.lit(float(bandwidth)) if bandwidth else F.col("std") * F.pow(F.col("n"), F.lit(-0.2))
     facts = facts.select(
         F.struct("n", width.alias("bw"), (F.col("low") - cut * width).alias("start"),
@@ -233,11 +231,13 @@ def pearson_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 def spearman_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Spearman correlations (average ranks for ties) in long form, over rows without nulls in ``cols``."""
-    ranked = df.select(*cols).dropna()
-    source = ranked
+    ranked = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).dropna()
+    ranks = checkpointed(average_ranks(ranked, cols))
     for c in cols:
-        ranks = average_ranks(source, c).select(c, F.col("average_rank").alias(f"{c}_rank"))
-        ranked = join_dimension(ranked, ranks, c, "inner")
+        own = ranks.filter(F.col("column") == c).select(
+            F.col("value").alias(c), F.col("average_rank").alias(f"{c}_rank")
+        )
+        ranked = join_dimension(ranked, own, c, "inner")
     ranked = ranked.select(*[F.col(f"{c}_rank").alias(c) for c in cols])
     return pearson_matrix(ranked, cols)
 

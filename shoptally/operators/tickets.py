@@ -72,7 +72,7 @@ def ticket_features(sales: DataFrame, lines: DataFrame) -> DataFrame:
     )
 
 
-def ticket_spend_profile(lines: DataFrame, roles=("UTILES", "FOTOCOPIADORA")) -> DataFrame:
+def ticket_spend_profile(lines: DataFrame, roles=("UTILES", "FOTOCOPIADORA"), digits: int | None = 4) -> DataFrame:
     """Units, variety and spend per ticket, split by two named departments, with guarded ratios."""
     return (
         spend_by_role(lines, roles=roles)
@@ -87,8 +87,8 @@ def ticket_spend_profile(lines: DataFrame, roles=("UTILES", "FOTOCOPIADORA")) ->
         )
         .withColumns(
             {
-                "unit_price": safe_ratio("subtotal", "units"),
-                "share_1": safe_ratio("spend_1", "subtotal"),
+                "unit_price": safe_ratio("subtotal", "units", digits),
+                "share_1": safe_ratio("spend_1", "subtotal", digits),
                 "dominant": dominant_role("spend_1", "spend_2", roles),
             }
         )

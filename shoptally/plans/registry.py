@@ -5,13 +5,14 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 # The point-of-sale reading of the supplied tables, as SQL; ``views.py`` states the same for Spark.
 CTES = """
-WITH sales AS (
+WITH RECURSIVE sales AS (
   SELECT o_orderkey AS id, CAST(o_orderdate AS DATE) AS day, o_custkey AS customer, o_totalprice AS total,
          CASE WHEN o_orderpriority IN ('1-URGENT','2-HIGH') THEN 'YAPE' ELSE 'EFECTIVO' END AS pay
   FROM orders),
@@ -51,8 +52,9 @@ def query(name: str, sql: str | None = None, ctes=True):
     return register
 
 
-def rounded(df: DataFrame, **digits: int) -> DataFrame:
-    """Round the named columns, so that two engines' summation orders give equal values."""
-    from pyspark.sql import functions as F
+def rounded(df: DataFrame, shift=1e-9, **digits: int) -> DataFrame:
+    """Round the named columns, so that two engines' summation orders give equal values.
 
-    return df.withColumns({c: F.round(c, d) for c, d in digits.items()})
+    The small shift moves exact ties (cents over an even count) to one side in both engines.
+    """
+    return df.withColumns({c: F.round(F.col(c) + shift, d) for c, d in digits.items()})

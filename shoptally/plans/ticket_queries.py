@@ -14,8 +14,8 @@ def _features(spark, sf):
 
 
 _ROUND_FEATURES = {"unit_ticket": 4, "diversity": 6, "std_subtotal": 4}
-_SQL_ROUND = """total, units, n_products, round(unit_ticket, 4) AS unit_ticket, round(diversity, 6) AS diversity,
- n_depts, max_subtotal, round(std_subtotal, 4) AS std_subtotal"""
+_SQL_ROUND = """total, units, n_products, round(unit_ticket + 1e-9, 4) AS unit_ticket, round(diversity + 1e-9, 6) AS diversity,
+ n_depts, max_subtotal, round(std_subtotal + 1e-9, 4) AS std_subtotal"""
 
 
 @query("ticket_features", FEATURES_CTE + f"SELECT id, pay, {_SQL_ROUND} FROM features")
@@ -31,16 +31,16 @@ def ticket_features(spark, sf):
     sum(CASE WHEN upper(trim(dept)) = 'PROMO' THEN subtotal ELSE 0 END) AS spend_2,
     sum(CASE WHEN upper(trim(dept)) IN ('STANDARD','PROMO') THEN 0 ELSE subtotal END) AS spend_other
   FROM lines GROUP BY id)
-SELECT id, units, variety, round(subtotal, 2) AS subtotal, round(spend_1, 2) AS spend_1, round(spend_2, 2) AS spend_2,
-  round(spend_other, 2) AS spend_other,
-  CASE WHEN units > 0 THEN round(subtotal / units, 3) ELSE 0 END AS unit_price,
-  CASE WHEN subtotal > 0 THEN round(spend_1 / subtotal, 4) ELSE 0 END AS share_1,
+SELECT id, units, variety, round(subtotal + 1e-9, 2) AS subtotal, round(spend_1 + 1e-9, 2) AS spend_1, round(spend_2 + 1e-9, 2) AS spend_2,
+  round(spend_other + 1e-9, 2) AS spend_other,
+  CASE WHEN units > 0 THEN round(subtotal / units + 1e-9, 4) ELSE 0.0 END AS unit_price,
+  CASE WHEN subtotal > 0 THEN round(spend_1 / subtotal + 1e-9, 4) ELSE 0 END AS share_1,
   CASE WHEN spend_1 >= spend_2 THEN 'STANDARD' ELSE 'PROMO' END AS dominant
 FROM p""",
 )
 def ticket_spend_profile(spark, sf):
-    profile = tickets.ticket_spend_profile(views.lines(spark, sf), views.ROLES)
-    return rounded(profile, subtotal=2, spend_1=2, spend_2=2, spend_other=2, unit_price=3)
+    profile = tickets.ticket_spend_profile(views.lines(spark, sf), views.ROLES, digits=None)
+    return rounded(profile, subtotal=2, spend_1=2, spend_2=2, spend_other=2, unit_price=4, share_1=4)
 
 
 @query(
@@ -199,12 +199,8 @@ SELECT f.measure, f.n, round(q1, 4) AS q1, round(q3, 4) AS q3, round(iqr, 4) AS
 FROM f JOIN c ON c.measure = f.measure GROUP BY f.measure, f.n, q1, q3, iqr, lower, upper""",
 )
 def tukey_fences(spark, sf):
-    features = _features(spark, sf)
-    parts = [
-        outliers.tukey_fences(features, c).select(F.lit(c).alias("measure"), "*")
-        for c in ("units", "total", "std_subtotal")
-    ]
-    fences = parts[0].unionByName(parts[1]).unionByName(parts[2])
+    fences = outliers.tukey_fences(_features(spark, sf), ["units", "total", "std_subtotal"])
+    fences = fences.withColumnRenamed("column", "measure")
     return rounded(fences, q1=4, q3=4, iqr=4, lower=4, upper=4, outlier_pct=4)
 
 
