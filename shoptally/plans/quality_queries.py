@@ -253,7 +253,7 @@ def ratios(spark, sf):
         fn.ratio_or_null("price", "stock").alias("unguarded"),
         fn.dominant_role(F.col("price"), F.col("stock") * 100, views.ROLES).alias("dominant"),
     )
-    return rounded(table, guarded=4, unguarded=4)
+    return rounded(table, 1e-9, guarded=4, unguarded=4)
 
 
 @query(

@@ -52,9 +52,9 @@ def query(name: str, sql: str | None = None, ctes=True):
     return register
 
 
-def rounded(df: DataFrame, shift=1e-9, **digits: int) -> DataFrame:
+def rounded(df: DataFrame, shift=0.0, **digits: int) -> DataFrame:
     """Round the named columns, so that two engines' summation orders give equal values.
 
-    The small shift moves exact ties (cents over an even count) to one side in both engines.
+    A small ``shift``, also stated in the SQL, moves exact ties (cents over an even count) to one side in both engines.
     """
     return df.withColumns({c: F.round(F.col(c) + shift, d) for c, d in digits.items()})

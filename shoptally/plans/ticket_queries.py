@@ -20,7 +20,7 @@ _SQL_ROUND = """total, units, n_products, round(unit_ticket + 1e-9, 4) AS unit_t
 
 @query("ticket_features", FEATURES_CTE + f"SELECT id, pay, {_SQL_ROUND} FROM features")
 def ticket_features(spark, sf):
-    return rounded(_features(spark, sf), **_ROUND_FEATURES)
+    return rounded(_features(spark, sf), 1e-9, **_ROUND_FEATURES)
 
 
 @query(
@@ -40,7 +40,7 @@ FROM p""",
 )
 def ticket_spend_profile(spark, sf):
     profile = tickets.ticket_spend_profile(views.lines(spark, sf), views.ROLES, digits=None)
-    return rounded(profile, subtotal=2, spend_1=2, spend_2=2, spend_other=2, unit_price=4, share_1=4)
+    return rounded(profile, 1e-9, subtotal=2, spend_1=2, spend_2=2, spend_other=2, unit_price=4, share_1=4)
 
 
 @query(
