@@ -12,7 +12,7 @@ def apply_changes(base: DataFrame | None, log: DataFrame, key="key", seq="seq",
     """Current rows after a change log, with ``inserted_at`` (seq of the insert).
 
     Per key: the last delete clears everything before it, the first insert after it holds (later ones are refused),
-    and the last update after that insert sets every value it does not leave null. An update without a row does
+    and each value is that of the last update after the insert that does not leave it null. An update without a row does
     nothing. Rows of ``base`` count as inserts before the log. Each step is one aggregate per key, so a key
     with a large share of the log is reduced before any shuffle.
     """
@@ -30,8 +30,10 @@ def apply_changes(base: DataFrame | None, log: DataFrame, key="key", seq="seq",
     inserts = alive.filter(F.col(op) == "insert").groupBy(key).agg(first).select(key, "_insert.*")
     updates = join_dimension(alive.filter(F.col(op) == "update"), inserts.select(key, "_at"), key, "inner")
     updates = updates.filter(F.col(seq) > F.col("_at"))
-    last = F.max(F.struct(F.col(seq).alias("_u_at"), *[F.col(v).alias(f"_u_{v}") for v in values])).alias("_update")
-    updates = updates.groupBy(key).agg(last).select(key, "_update.*")
+    last = [
+        F.max(F.when(F.col(v).isNotNull(), F.struct(F.col(seq), F.col(v)))).getField(v).alias(f"_u_{v}") for v in values
+    ]
+    updates = updates.groupBy(key).agg(*last)
     return inserts.join(updates, key, "left").select(
         key, F.col("_at").alias("inserted_at"), *[F.coalesce(f"_u_{v}", f"_i_{v}").alias(v) for v in values]
     )
