@@ -5,19 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-DATE_FORMATS = (
-    "yyyy-MM-dd HH:mm:ss",
-    "yyyy-MM-dd HH:mm",
-    "yyyy-MM-dd",
-    "yyyy/MM/dd",
-    "M/d/yyyy HH:mm:ss",
-    "M/d/yyyy HH:mm",
-    "M/d/yyyy",
-    "d/M/yyyy HH:mm:ss",
-    "d/M/yyyy HH:mm",
-    "d/M/yyyy",
-    "d-M-yyyy",
-)
+YEAR_FIRST = r"^(\d{4})[-/.](\d{1,2})[-/.](\d{1,2})(?:$|[ T])"
+YEAR_LAST = r"^(\d{1,2})[-/.](\d{1,2})[-/.](\d{4})(?:$|[ T])"
+CLOCK = r"[ T](\d{1,2}):(\d{2})(?::(\d{2}))?"
 
 # Last day of a week -> the weekday after it, which starts the next one.
 _WEEK_ENDS = ("MON", "TUE", "WED", "THU", "FRI", "SAT", "SUN")
@@ -27,10 +17,40 @@ def _col(col) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
-def parse_date(col, formats=DATE_FORMATS) -> Column:
-    """Timestamp by the first pattern that reads the whole text; null when none does."""
+def _date(year: Column, month: Column, day: Column) -> Column:
+    """Date of three numbers, null when there is no such day. Checked first: a failing parse is far slower."""
+    first = F.when(month.between(1, 12) & (year > 0), F.make_date(year, month, F.lit(1)))
+    return F.when(day.between(1, F.dayofmonth(F.last_day(first))), F.make_date(year, month, day))
+
+
+def _number(text: Column, pattern: str, group: int) -> Column:
+    return F.regexp_extract(text, pattern, group).try_cast("int")
+
+
+def two_readings(col) -> tuple[Column, Column]:
+    """Month-first and day-first date of a text; a text with only one valid reading gives it twice.
+
+    Texts that start with the year have one reading.
+    """
+    text = F.trim(_col(col))
+    iso = _date(*[_number(text, YEAR_FIRST, i) for i in (1, 2, 3)])
+    a, b, year = (_number(text, YEAR_LAST, i) for i in (1, 2, 3))
+    month_first, day_first = _date(year, a, b), _date(year, b, a)
+    return F.coalesce(iso, month_first, day_first), F.coalesce(iso, day_first, month_first)
+
+
+def parse_date(col, formats=None) -> Column:
+    """Timestamp of a date text in mixed form (month first when both readings are valid), else null.
+
+    With ``formats``, the first pattern that reads the whole text decides.
+    """
     text = F.trim(_col(col))
-    return F.coalesce(*[F.try_to_timestamp(text, F.lit(f)) for f in formats])
+    if formats:
+        return F.coalesce(*[F.try_to_timestamp(text, F.lit(f)) for f in formats])
+    day, _ = two_readings(text)
+    hour, minute, second = (F.coalesce(_number(text, CLOCK, i), F.lit(0)) for i in (1, 2, 3))
+    clock = F.make_dt_interval(hours=hour, mins=minute, secs=second)
+    return F.when((hour < 24) & (minute < 60) & (second < 60), day.cast("timestamp") + clock)
 
 
 def has_time(col) -> Column:

@@ -10,7 +10,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from shoptally.operators.category_rules import PENDING
-from shoptally.session import checkpointed
+from shoptally.session import checkpointed, spread
 
 
 def baskets(lines: DataFrame, ticket="id", item="analytic_category", exclude: str | None = PENDING) -> DataFrame:
@@ -67,7 +67,7 @@ def frequent_itemsets(df: DataFrame, min_support: float, max_len: int | None = N
     Mining is the costly step and its result small, so the result is checkpointed once.
     """
     n = df.count()
-    model = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=1.0).fit(df.select("items"))
+    model = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=1.0).fit(spread(df.select("items")))
     found = model.freqItemsets.select(F.array_sort("items").alias("items"), "freq")
     if max_len:
         found = found.filter(F.size("items") <= max_len)

@@ -8,11 +8,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from shoptally.functions.dates import parse_date
+from shoptally.functions.dates import parse_date, two_readings
 from shoptally.functions.numbers import to_number
 from shoptally.functions.text import payment_label
 from shoptally.operators.ranks import split_points, with_bucket
 from shoptally.schemas import require
+from shoptally.session import checkpointed
 
 NO_DESCRIPTION = "SIN DESCRIPCION"
 
@@ -67,15 +68,6 @@ def clean_inventory(df: DataFrame, dept_defaults: dict[str, int] | None = None,
     )
 
 
-def two_readings(col) -> tuple[Column, Column]:
-    """Day-first and month-first reading of a date text. ISO texts have only one."""
-    text = F.split(F.trim(F.col(col) if isinstance(col, str) else col), r"[ T]").getItem(0)
-    iso = F.try_to_timestamp(text, F.lit("yyyy-MM-dd")).cast("date")
-    day_first = F.coalesce(iso, F.try_to_timestamp(text, F.lit("d/M/yyyy")).cast("date"))
-    month_first = F.coalesce(iso, F.try_to_timestamp(text, F.lit("M/d/yyyy")).cast("date"))
-    return F.coalesce(day_first, month_first), F.coalesce(month_first, day_first)
-
-
 def disambiguate_dates(df: DataFrame, order: str, date: str, series: Sequence[str] = ()) -> DataFrame:
     """Add ``date_fixed``: the reading of each date text that keeps the series in time order.
 
@@ -88,7 +80,7 @@ def disambiguate_dates(df: DataFrame, order: str, date: str, series: Sequence[st
     keys = list(series)
     d1, d2 = two_readings(date)
     read = df.withColumns({"_a": F.least(d1, d2), "_b": F.greatest(d1, d2)})
-    rows = read.filter(F.col("_a").isNotNull()).select(*keys, order, "_a", "_b")
+    rows = checkpointed(read.filter(F.col("_a").isNotNull()).select(*keys, order, "_a", "_b"))
     rows = with_bucket(rows, order, split_points(rows, order))
 
     part = W.partitionBy(*keys, "bucket").orderBy(order)

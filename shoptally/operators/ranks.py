@@ -6,6 +6,7 @@ points, running totals are taken inside each bucket, and the totals of the lower
 The split points come from the values with the smallest hashes: a balanced sample of distinct
 values that does not depend on how the data is partitioned, so a re-run task sees the same buckets.
 They are fetched when the query is built (one row of at most ``BUCKETS`` values) and enter the plan as constants.
+The counted values are checkpointed once, so what they are counted from is computed once.
 """
 
 from __future__ import annotations
@@ -16,6 +17,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from shoptally.session import checkpointed
+
 BUCKETS = 256  # power of two
 SAMPLES_PER_BUCKET = 8
 
@@ -51,7 +54,8 @@ def with_bucket(counts: DataFrame, value: str, points: list, buckets=BUCKETS) ->
     """Add ``bucket``: the number of split points at or below the value."""
     if not points:
         return counts.withColumn("bucket", F.lit(0))
-    splits = F.array(*[F.lit(p) for p in points])
+    kind = counts.schema[value].dataType.simpleString()
+    splits = F.split(F.lit("\u0001".join(str(p) for p in points)), "\u0001").cast(f"array<{kind}>")
     steps = F.array(*[F.lit(buckets >> k) for k in range(1, buckets.bit_length())])
     position = F.aggregate(
         steps,
@@ -69,6 +73,7 @@ def ordered_totals(
     ``counts`` must hold one row per (``by``, ``value``). A group of any size is spread over the buckets;
     the only frames without a spread hold at most ``buckets`` rows per group.
     """
+    counts = checkpointed(counts)  # read for the split points, the bucket sums and the result
     points = split_points(counts, value, buckets)
     placed = with_bucket(counts, value, points, buckets)
     group = list(by)

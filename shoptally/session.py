@@ -20,6 +20,7 @@ def build_session(app="shoptally", master=None, shuffle_partitions=None, **conf)
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     }
     if shuffle_partitions:
         settings["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
@@ -49,6 +50,16 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/shoptally/{name}-{uuid.uuid4().hex}"
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Rows dealt evenly over the task slots, for iterative work on data that adaptive execution has coalesced.
+
+    Round-robin, so that copies of one row do not meet in one task.
+    """
+    spark = df.sparkSession
+    slots = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return df.repartition(slots)
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """Write ``df`` to the reliable checkpoint folder and cut its lineage."""
     context = df.sparkSession.sparkContext
