@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-YEAR_FIRST = r"^(\d{4})[-/.](\d{1,2})[-/.](\d{1,2})(?:$|[ T])"
-YEAR_LAST = r"^(\d{1,2})[-/.](\d{1,2})[-/.](\d{4})(?:$|[ T])"
-CLOCK = r"[ T](\d{1,2}):(\d{2})(?::(\d{2}))?"
+DATE_START = r"^\d{1,4}[-/.]\d{1,2}[-/.]\d{1,4}"
+YEAR_LAST = r"^(\d{1,2})[-/.](\d{1,2})[-/.](\d{4})"
+YEAR_FIRST = r"^(\d{4})[/.](\d{1,2})[/.]"
 
 # Last day of a week -> the weekday after it, which starts the next one.
 _WEEK_ENDS = ("MON", "TUE", "WED", "THU", "FRI", "SAT", "SUN")
@@ -17,26 +17,19 @@ def _col(col) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
-def _date(year: Column, month: Column, day: Column) -> Column:
-    """Date of three numbers, null when there is no such day. Checked first: a failing parse is far slower."""
-    first = F.when(month.between(1, 12) & (year > 0), F.make_date(year, month, F.lit(1)))
-    return F.when(day.between(1, F.dayofmonth(F.last_day(first))), F.make_date(year, month, day))
+def _reading(text: Column, order: str) -> Column:
+    """Timestamp of a text whose leading numbers stand in ``order`` unless the year comes first; null when invalid.
 
-
-def _number(text: Column, pattern: str, group: int) -> Column:
-    return F.regexp_extract(text, pattern, group).try_cast("int")
+    The numbers are put in ISO order and cast, which rejects a bad date without raising.
+    """
+    iso = F.regexp_replace(F.regexp_replace(text, YEAR_LAST, order), YEAR_FIRST, "$1-$2-")
+    return F.when(text.rlike(DATE_START), iso.try_cast("timestamp"))
 
 
 def two_readings(col) -> tuple[Column, Column]:
-    """Month-first and day-first date of a text; a text with only one valid reading gives it twice.
-
-    Texts that start with the year have one reading.
-    """
+    """Month-first and day-first date of a text, null where invalid. A text that starts with the year has one."""
     text = F.trim(_col(col))
-    iso = _date(*[_number(text, YEAR_FIRST, i) for i in (1, 2, 3)])
-    a, b, year = (_number(text, YEAR_LAST, i) for i in (1, 2, 3))
-    month_first, day_first = _date(year, a, b), _date(year, b, a)
-    return F.coalesce(iso, month_first, day_first), F.coalesce(iso, day_first, month_first)
+    return tuple(_reading(text, order).cast("date") for order in ("$3-$1-$2", "$3-$2-$1"))
 
 
 def parse_date(col, formats=None) -> Column:
@@ -47,10 +40,7 @@ def parse_date(col, formats=None) -> Column:
     text = F.trim(_col(col))
     if formats:
         return F.coalesce(*[F.try_to_timestamp(text, F.lit(f)) for f in formats])
-    day, _ = two_readings(text)
-    hour, minute, second = (F.coalesce(_number(text, CLOCK, i), F.lit(0)) for i in (1, 2, 3))
-    clock = F.make_dt_interval(hours=hour, mins=minute, secs=second)
-    return F.when((hour < 24) & (minute < 60) & (second < 60), day.cast("timestamp") + clock)
+    return F.coalesce(_reading(text, "$3-$1-$2"), _reading(text, "$3-$2-$1"))
 
 
 def has_time(col) -> Column:

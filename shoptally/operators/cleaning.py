@@ -80,7 +80,7 @@ def disambiguate_dates(df: DataFrame, order: str, date: str, series: Sequence[st
     keys = list(series)
     d1, d2 = two_readings(date)
     read = df.withColumns({"_a": F.least(d1, d2), "_b": F.greatest(d1, d2)})
-    rows = checkpointed(read.filter(F.col("_a").isNotNull()).select(*keys, order, "_a", "_b"))
+    rows = checkpointed(read.select(*keys, order, "_a", "_b").filter(F.col("_a").isNotNull()))
     rows = with_bucket(rows, order, split_points(rows, order))
 
     part = W.partitionBy(*keys, "bucket").orderBy(order)
