@@ -10,7 +10,7 @@ HEAVY_SHARE = 0.01
 
 def plan_bytes(df: DataFrame) -> int:
     """Optimizer's size estimate of a plan; runs no job."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
 
 
 def broadcast_limit(df: DataFrame) -> int:

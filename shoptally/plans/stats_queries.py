@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from shoptally.operators import stats, tickets
+from shoptally.operators.joins import join_dimension
 from shoptally.plans import views
 from shoptally.plans.registry import FEATURES_CTE, query, rounded
 
@@ -61,7 +62,7 @@ def grouped_summary(spark, sf):
 FROM lines JOIN sales USING (id) GROUP BY dept, pay""",
 )
 def class_mix(spark, sf):
-    joined = views.lines(spark, sf).join(views.sales(spark, sf).select("id", "pay"), "id")
+    joined = join_dimension(views.lines(spark, sf), views.sales(spark, sf).select("id", "pay"), "id", "inner")
     return rounded(stats.class_mix(joined, "dept", "pay"), share=6)
 
 
