@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -32,21 +30,29 @@ def build_session(app="shoptally", master=None, shuffle_partitions=None, **conf)
 def shared_dir(spark: SparkSession) -> str:
     """Folder that every executor can reach, taken from ``spark.checkpoint.dir``.
 
-    Only a local session may fall back to a temporary folder of this machine.
+    Where that is unset, as in tests, the warehouse of the session takes its place: it is shared as well, and never a
+    temporary folder of one machine.
     """
     folder = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    folder = os.path.join(tempfile.gettempdir(), "shoptally-checkpoints")
-    spark.conf.set("spark.checkpoint.dir", folder)
+    if not folder:
+        folder = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
+        spark.conf.set("spark.checkpoint.dir", folder)
     return folder
 
 
+def _scratch_root(spark: SparkSession) -> str:
+    return f"{shared_dir(spark).rstrip('/')}/shoptally/{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new path in the shared folder; never reused, so a lost job leaves nothing half-written behind."""
-    return f"{shared_dir(spark).rstrip('/')}/shoptally/{name}-{uuid.uuid4().hex}"
+    return f"{_scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def remove_scratch(spark: SparkSession) -> None:
+    """Delete all intermediate tables of this application; results that still read them must be written before."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_scratch_root(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def spread(df: DataFrame) -> DataFrame:
