@@ -10,7 +10,6 @@ No link is missed, however many fingerprints share a key.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from itertools import combinations
 
 import numpy as np
@@ -60,13 +59,11 @@ _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuv
 def fingerprints(docs: DataFrame) -> DataFrame:
     """``(doc_id, text hash, fp)`` of every row; ``fp`` is the fingerprint as a signed long. Columns: ``doc_id, text``."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            found = np.array([fingerprint(t) for t in batch.text], dtype=np.uint64)
-            yield pd.DataFrame({"doc_id": batch.doc_id, "text_hash": batch.text_hash, "fp": found.view(np.int64)})
+    @F.pandas_udf("long")
+    def prints(text: pd.Series) -> pd.Series:
+        return pd.Series(np.array([fingerprint(t) for t in text], dtype=np.uint64).view(np.int64))
 
-    keyed_docs = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash"))
-    return keyed_docs.mapInPandas(run, "doc_id long, text_hash long, fp long")
+    return docs.select("doc_id", F.xxhash64("text").alias("text_hash"), prints("text").alias("fp"))
 
 
 def pivot_table(fps: np.ndarray) -> np.ndarray:
