@@ -6,8 +6,8 @@ from importlib import import_module
 
 MODULES = (
     "simhash",
-    # topk
-    # chat
+    "topk",
+    "chat",
     "substrings",
     # training_order
     "quality",
