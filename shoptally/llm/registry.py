@@ -14,7 +14,7 @@ MODULES = (
     "packing",
     "personal_data",
     # languages
-    # byte_pairs
+    "byte_pairs",
 )
 
 
