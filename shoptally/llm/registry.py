@@ -9,11 +9,11 @@ MODULES = (
     "topk",
     "chat",
     "substrings",
-    # training_order
+    "training_order",
     "quality",
     "packing",
     "personal_data",
-    # languages
+    "languages",
     "byte_pairs",
 )
 
