@@ -8,10 +8,9 @@ by slot: slot s is record ``s % per_shard`` of shard ``s // per_shard``.
 
 from __future__ import annotations
 
-import zlib
-
 import numpy as np
 import pandas as pd
+import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
@@ -54,17 +53,19 @@ def permuted(numbers: np.ndarray, total: int, key=KEY) -> np.ndarray:
 
 
 def sequences(docs: DataFrame, vocabulary: str, length=LENGTH, end_id=END_ID) -> DataFrame:
-    """``(doc_id, tag, start, n_tokens, ids)`` of every row of ``docs (doc_id, text)``: its ids in runs of ``length``.
+    """``(doc_id, tag, start, n_tokens, packed)`` of every row of ``docs (doc_id, text)``: its ids in runs of ``length``.
 
-    ``ids`` are little-endian unsigned 16-bit integers. ``tag`` tells apart rows that share an id.
+    ``packed`` holds little-endian unsigned 16-bit integers, compressed, as they are shuffled twice. ``tag`` tells apart rows
+    that share an id.
     """
 
-    @F.pandas_udf("array<struct<start:long,n_tokens:long,ids:binary>>")
+    @F.pandas_udf("array<struct<start:long,n_tokens:long,packed:binary>>")
     def cut(text: pd.Series) -> pd.Series:
-        known, out = word_ids(vocabulary), []
+        known, press, out = word_ids(vocabulary), zstandard.ZstdCompressor(level=3), []
         for t in text:
             ids = np.frombuffer(document_ids(t, known, end_id), dtype="<u4").astype("<u2")
-            out.append([{"start": i, "n_tokens": min(length, len(ids) - i), "ids": ids[i : i + length].tobytes()} for i in range(0, len(ids), length)])
+            runs = [ids[i : i + length] for i in range(0, len(ids), length)]
+            out.append([{"start": i * length, "n_tokens": len(r), "packed": press.compress(r.tobytes())} for i, r in enumerate(runs)])
         return pd.Series(out, dtype=object)
 
     made = docs.select("doc_id", F.hash("text").alias("tag"), F.explode(cut("text")).alias("s"))
@@ -87,7 +88,7 @@ def ordered(made: DataFrame, key=KEY, per_shard=PER_SHARD) -> DataFrame:
     def slot(bucket: pd.Series, row: pd.Series) -> pd.Series:
         return pd.Series(permuted(before[bucket.to_numpy()] + row.to_numpy() - 1, total, key))
 
-    within = W.partitionBy("_bucket").orderBy("doc_id", "tag", "start", F.crc32("ids"))
+    within = W.partitionBy("_bucket").orderBy("doc_id", "tag", "start", F.crc32("packed"))
     placed = dealt.withColumn("_row", F.row_number().over(within)).withColumn("slot", slot("_bucket", "_row"))
     return placed.drop("_bucket", "_row", "tag").withColumn("shard", F.floor(F.col("slot") / per_shard).cast("long"))
 
@@ -99,8 +100,13 @@ def write_shards(placed: DataFrame, path: str, length=LENGTH) -> None:
     """
     spark = placed.sparkSession
     dealt = placed.repartitionByRange(part_count(spark), "shard").sortWithinPartitions("shard", "slot")
-    padding = F.repeat(F.lit("\0"), (2 * length - F.octet_length("ids")).cast("int")).cast("binary")
-    records = dealt.select("shard", "slot", "doc_id", "start", "n_tokens", F.concat("ids", padding).alias("record"))
+
+    @F.pandas_udf("binary")
+    def record(packed: pd.Series) -> pd.Series:
+        press = zstandard.ZstdDecompressor()
+        return pd.Series([press.decompress(bytes(p)).ljust(2 * length, b"\0") for p in packed], dtype=object)
+
+    records = dealt.select("shard", "slot", "doc_id", "start", "n_tokens", record("packed").alias("record"))
     records.write.partitionBy("shard").option("compression", "zstd").parquet(path)
 
 

@@ -9,14 +9,19 @@ from __future__ import annotations
 from array import array
 from itertools import chain
 
+import numpy as np
+
 from shoptally.llm.common import words_of
 
 CACHED_WORDS = 300_000
 LONGEST_CACHED = 100
 
+# Marks that the vocabulary's pattern always parts from a letter before them.
+MARKS = frozenset(".,;:!?")
+
 
 class WordIds(dict):
-    """Word (UTF-8) -> tuple of ids, filled on demand; starts over when it holds ``CACHED_WORDS`` words."""
+    """Word (UTF-8) -> tuple of ids, filled on demand; a text that finds over ``CACHED_WORDS`` words in it starts it anew."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -25,14 +30,49 @@ class WordIds(dict):
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # names of special tokens in a text are ordinary text
 
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends_word = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+        self.ends_word[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
+
     def __missing__(self, word: bytes):
         ids = tuple(self.tokenizer.encode(word.decode("utf-8", "replace"), add_special_tokens=False).ids)
         if len(word) <= LONGEST_CACHED:
-            if len(self) >= CACHED_WORDS:
-                self.clear()
             self[word] = ids
         return ids
 
+    def learn(self, words) -> None:
+        """Encode new words together: all that are letters only, or letters before one last mark, in one call.
+
+        Such a word has one token that ends it, so the ids of the call part after these tokens; should their number not be
+        the number of words, the words are left to be encoded one by one.
+        """
+        stems = {}
+        for word in words:
+            text = word.decode("utf-8", "replace")
+            marked = len(text) > 1 and text[-1] in MARKS
+            stem = text[:-1] if marked else text
+            if stem.isalpha() and len(word) <= LONGEST_CACHED:
+                stems[word] = (stem, text[-1].encode() if marked else b"")
+        new = sorted({stem for stem, _ in stems.values()})
+        if not new:
+            return
+        ids = np.array(self.tokenizer.encode_batch_fast([" ".join(new)], add_special_tokens=False)[0].ids)
+        stops = np.flatnonzero(self.ends_word[ids]) + 1
+        if len(stops) != len(new):
+            return
+        found = dict(zip(new, (tuple(part.tolist()) for part in np.split(ids, stops[:-1])), strict=True))
+        for word, (stem, mark) in stems.items():
+            self[word] = found[stem] + (self[mark] if mark else ())
+
+    def encode(self, words: list[bytes]) -> array:
+        """Ids of words, one after the other."""
+        if len(self) > CACHED_WORDS:
+            self.clear()
+        new = {w for w in words if w not in self}
+        if new:
+            self.learn(new)
+        return array("I", chain.from_iterable(map(self.__getitem__, words)))
+
 
 _LOADED: dict[str, WordIds] = {}
 
@@ -46,6 +86,6 @@ def word_ids(path: str) -> WordIds:
 
 def document_ids(text: str | None, ids: WordIds, end_id: int) -> array:
     """All ids of a text and ``end_id``, as unsigned 32-bit integers; a null text counts as empty."""
-    out = array("I", chain.from_iterable(map(ids.__getitem__, words_of(text))))
+    out = ids.encode(words_of(text))
     out.append(end_id)
     return out
