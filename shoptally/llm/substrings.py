@@ -128,7 +128,7 @@ def _gathered(run, size=200_000):
 def _shared(df: DataFrame, key: str) -> DataFrame:
     """``(key, least)``: keys that several documents hold, with the smallest of them."""
     ends = df.groupBy(key).agg(F.min("doc").alias("least"), F.max("doc").alias("most"))
-    return ends.filter("least < most").select(key, "least")
+    return checkpointed(ends.filter("least < most").select(key, "least"))  # a plain table: its joins can be split where a key is hot
 
 
 def windows(rows: DataFrame, chosen: DataFrame, length=LENGTH) -> DataFrame:
