@@ -1,8 +1,8 @@
 """Training order on disk: every sequence gets a slot by a keyed permutation, shards hold fixed ranges of slots.
 
 Sequences are numbered from 0 to N - 1; a balanced Feistel network over the next even power of two, with cycle-walking,
-permutes these numbers. The slot follows from key and number alone, so any task can compute it and a run with the same key
-gives the same order on any cluster. Each shard is one file of records of equal size (ids of two bytes, zero-padded), sorted
+permutes these numbers. The slot follows from key and number alone, so any task can compute it and a task that is repeated
+after a loss computes the same. Each shard is one file of records of equal size (ids of two bytes, zero-padded), sorted
 by slot: slot s is record ``s % per_shard`` of shard ``s // per_shard``.
 """
 
@@ -10,15 +10,13 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window as W
 
 from shoptally.llm.common import part_count, table
 from shoptally.llm.packing import vocabulary_path
 from shoptally.llm.word_tokens import document_ids, word_ids
-from shoptally.session import checkpointed, scratch_path
+from shoptally.session import scratch_path
 
 LENGTH = 1024
 PER_SHARD = 8192
@@ -53,44 +51,41 @@ def permuted(numbers: np.ndarray, total: int, key=KEY) -> np.ndarray:
 
 
 def sequences(docs: DataFrame, vocabulary: str, length=LENGTH, end_id=END_ID) -> DataFrame:
-    """``(doc_id, tag, start, n_tokens, packed)`` of every row of ``docs (doc_id, text)``: its ids in runs of ``length``.
+    """``(row, doc_id, start, n_tokens, ids)`` of every row of ``docs (doc_id, text)``: its ids in runs of ``length``.
 
-    ``packed`` holds little-endian unsigned 16-bit integers, compressed, as they are shuffled twice. ``tag`` tells apart rows
-    that share an id.
+    ``ids`` are little-endian unsigned 16-bit integers. ``row`` is the input partition and the place in it.
     """
 
-    @F.pandas_udf("array<struct<start:long,n_tokens:long,packed:binary>>")
+    @F.pandas_udf("array<struct<start:long,n_tokens:long,ids:binary>>")
     def cut(text: pd.Series) -> pd.Series:
-        known, press, out = word_ids(vocabulary), zstandard.ZstdCompressor(level=3), []
+        known, out = word_ids(vocabulary), []
         for t in text:
             ids = np.frombuffer(document_ids(t, known, end_id), dtype="<u4").astype("<u2")
             runs = [ids[i : i + length] for i in range(0, len(ids), length)]
-            out.append([{"start": i * length, "n_tokens": len(r), "packed": press.compress(r.tobytes())} for i, r in enumerate(runs)])
+            out.append([{"start": i * length, "n_tokens": len(r), "ids": r.tobytes()} for i, r in enumerate(runs)])
         return pd.Series(out, dtype=object)
 
-    made = docs.select("doc_id", F.hash("text").alias("tag"), F.explode(cut("text")).alias("s"))
-    return made.select("doc_id", "tag", "s.*")
+    made = docs.select("doc_id", F.explode(cut("text")).alias("s"))
+    return made.select(F.monotonically_increasing_id().alias("row"), "doc_id", "s.*")
 
 
 def ordered(made: DataFrame, key=KEY, per_shard=PER_SHARD) -> DataFrame:
     """Add ``slot`` and ``shard`` to a written table of sequences.
 
-    Sequences are numbered in hash buckets, after the totals of lower buckets, by id and start; the number of buckets grows
-    with the square root of the number of sequences, and only the bucket totals reach the driver.
+    A sequence's number is its place in the table as it was read, partition after partition. One count per input partition
+    reaches the driver, and the ids are shuffled only once, into their shards.
     """
-    total = made.count()
-    buckets = max(16, int(total**0.5 / 4))
-    dealt = made.withColumn("_bucket", F.pmod(F.xxhash64("doc_id", "tag", "start"), F.lit(buckets)).cast("int"))
-    counts = {r["_bucket"]: r["count"] for r in dealt.groupBy("_bucket").count().collect()}
-    before = np.concatenate([[0], np.cumsum([counts.get(b, 0) for b in range(buckets)])])
+    counts = {r["part"]: r["count"] for r in made.groupBy(F.shiftright("row", 33).alias("part")).count().collect()}
+    before = np.concatenate([[0], np.cumsum([counts.get(p, 0) for p in range(max(counts, default=0) + 1)])])
+    total = int(before[-1])
 
     @F.pandas_udf("long")
-    def slot(bucket: pd.Series, row: pd.Series) -> pd.Series:
-        return pd.Series(permuted(before[bucket.to_numpy()] + row.to_numpy() - 1, total, key))
+    def slot(row: pd.Series) -> pd.Series:
+        at = row.to_numpy()
+        return pd.Series(permuted(before[at >> 33] + (at & ((1 << 33) - 1)), total, key))
 
-    within = W.partitionBy("_bucket").orderBy("doc_id", "tag", "start", F.crc32("packed"))
-    placed = dealt.withColumn("_row", F.row_number().over(within)).withColumn("slot", slot("_bucket", "_row"))
-    return placed.drop("_bucket", "_row", "tag").withColumn("shard", F.floor(F.col("slot") / per_shard).cast("long"))
+    placed = made.withColumn("slot", slot("row")).drop("row")
+    return placed.withColumn("shard", F.floor(F.col("slot") / per_shard).cast("long"))
 
 
 def write_shards(placed: DataFrame, path: str, length=LENGTH) -> None:
@@ -100,13 +95,8 @@ def write_shards(placed: DataFrame, path: str, length=LENGTH) -> None:
     """
     spark = placed.sparkSession
     dealt = placed.repartitionByRange(part_count(spark), "shard").sortWithinPartitions("shard", "slot")
-
-    @F.pandas_udf("binary")
-    def record(packed: pd.Series) -> pd.Series:
-        press = zstandard.ZstdDecompressor()
-        return pd.Series([press.decompress(bytes(p)).ljust(2 * length, b"\0") for p in packed], dtype=object)
-
-    records = dealt.select("shard", "slot", "doc_id", "start", "n_tokens", record("packed").alias("record"))
+    padding = F.repeat(F.lit("\0"), (2 * length - F.octet_length("ids")).cast("int")).cast("binary")
+    records = dealt.select("shard", "slot", "doc_id", "start", "n_tokens", F.concat("ids", padding).alias("record"))
     records.write.partitionBy("shard").option("compression", "zstd").parquet(path)
 
 
@@ -123,9 +113,12 @@ def materialise(docs: DataFrame, path: str, vocabulary: str, length=LENGTH, per_
     A null or empty text is one sequence of its end id; rows that repeat an id or have none are sequences of their own; an
     empty table writes no shard; further columns are ignored.
     """
-    made = checkpointed(sequences(docs.select("doc_id", "text"), vocabulary, length, end_id))
+    spark, table_path = docs.sparkSession, scratch_path(docs.sparkSession, "sequences")
+    made = sequences(docs.select("doc_id", "text"), vocabulary, length, end_id)
+    made.write.option("compression", "zstd").parquet(table_path)
+    made = spark.read.schema(made.schema).parquet(table_path)
     write_shards(ordered(made, key, per_shard), path, length)
-    return read_shards(docs.sparkSession, path, per_shard=per_shard)
+    return read_shards(spark, path, per_shard=per_shard)
 
 
 def op5_training_order(spark, sf_dir: str) -> DataFrame:
