@@ -196,9 +196,10 @@ def keep_one(docs: DataFrame) -> DataFrame:
     found = near_duplicates(keyed(docs))
     order = F.struct(F.coalesce("doc_id", F.lit(NO_ID)).alias("id"), F.col("text_hash").alias("hash"))
     chosen = found.groupBy("root").agg(F.min(order).alias("first")).select(F.col("first.id").alias("_id"), F.col("first.hash").alias("_hash"))
-    rows = docs.withColumns({"_key_id": F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)), "_key_hash": F.xxhash64("text")})
-    kept = rows.join(checkpointed(chosen), F.expr("_key_id = _id AND _key_hash = _hash"), "left_semi")
-    return kept.dropDuplicates(["_key_id", "_key_hash"]).select(*docs.columns)
+    rows = docs.select(
+        F.struct(*docs.columns).alias("row"), F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("_id"), F.xxhash64("text").alias("_hash")
+    )
+    return rows.join(checkpointed(chosen), ["_id", "_hash"], "left_semi").dropDuplicates(["_id", "_hash"]).select("row.*")
 
 
 def op1_simhash(spark, sf_dir: str) -> DataFrame:

@@ -174,11 +174,10 @@ def cut(text: str | None, first, n, length=LENGTH) -> tuple[int, int, bytes]:
 
 
 def _with_parts(docs: DataFrame, length: int) -> DataFrame:
-    """``docs`` with ``_parts``, the list of repeated runs of its row (null: none)."""
-    found = repeats(_rows(docs), length).groupBy("doc", "tag").agg(F.collect_list(F.struct("first", "n")).alias("_parts"))
-    found = found.select(F.col("doc").alias("_doc"), F.col("tag").alias("_tag"), "_parts")
-    marked = docs.withColumns({"_id": F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)), "_hash": F.hash("text")})
-    return marked.join(found, F.expr("_id = _doc AND _hash = _tag"), "left").drop("_id", "_hash", "_doc", "_tag")
+    """``(row, parts)``: every row of ``docs`` as a struct, so that no column can clash, and its repeated runs (null: none)."""
+    found = repeats(_rows(docs), length).groupBy("doc", "tag").agg(F.collect_list(F.struct("first", "n")).alias("parts"))
+    doc, tag = F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc"), F.hash("text").alias("tag")
+    return docs.select(F.struct(*docs.columns).alias("row"), doc, tag).join(found, ["doc", "tag"], "left").select("row", "parts")
 
 
 def removal_report(docs: DataFrame, length=LENGTH) -> DataFrame:
@@ -200,7 +199,7 @@ def removal_report(docs: DataFrame, length=LENGTH) -> DataFrame:
         )
 
     marked = _with_parts(docs.select("doc_id", "text"), length)
-    return marked.select("doc_id", report("text", "_parts.first", "_parts.n").alias("r")).select("doc_id", "r.*")
+    return marked.select("row.doc_id", report("row.text", "parts.first", "parts.n").alias("r")).select("doc_id", "r.*")
 
 
 def without_repeats(docs: DataFrame, length=LENGTH) -> DataFrame:
@@ -213,7 +212,8 @@ def without_repeats(docs: DataFrame, length=LENGTH) -> DataFrame:
             dtype=object,
         )
 
-    return _with_parts(docs, length).withColumn("text", kept("text", "_parts.first", "_parts.n")).select(*docs.columns)
+    cleaned = _with_parts(docs, length).select("row", kept("row.text", "parts.first", "parts.n").alias("kept"))
+    return cleaned.select(*[F.col("kept" if c == "text" else f"row.{c}").alias(c) for c in docs.columns])
 
 
 def op4_substrings(spark, sf_dir: str) -> DataFrame:

@@ -86,7 +86,7 @@ def search(queries: DataFrame, candidates: DataFrame, k=K) -> DataFrame:
 
     def tile(key, asked: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:
         if not len(asked) or not len(held):
-            return pd.DataFrame({"asked": [], "query_id": [], "g": [], "top": []})
+            return pd.DataFrame({"asked": [], "query_id": [], "g": [], "top": []}, dtype=object)
         found = best(
             asked.vec_id.to_numpy(),
             np.array(asked.vector.tolist(), dtype=np.int64).reshape(len(asked), -1),
