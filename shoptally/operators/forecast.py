@@ -24,6 +24,8 @@ Z80 = 1.2815515655446004  # standard normal quantile of an 80 % interval
 LAG_FEATURES = ("is_nat", "is_school", "week", "lag_1", "lag_2", "lag_3")
 TINY = 1e-9
 
+FIT_PARTITIONS = 16
+
 
 def trend_forecast(
     df: DataFrame,
@@ -101,15 +103,11 @@ def trend_forecast_base(df: DataFrame, horizon=4, holdout=0, series: Sequence[st
 
 def _tree_forecast(model, train: DataFrame, test: DataFrame, cols: Sequence[str]) -> DataFrame:
     prepared = Pipeline(stages=[VectorAssembler(inputCols=list(cols), outputCol="_features"), model])
-    # One order of rows whatever the partitioning, so the seed fixes the result.
-    fitted = prepared.fit(train.repartition(1).sortWithinPartitions("ds") if _is_small(train) else train)
+    # Dealt by day over a fixed number of partitions, so the seed fixes the result on every cluster and at every size.
+    fitted = prepared.fit(train.repartition(FIT_PARTITIONS, "ds").sortWithinPartitions("ds"))
     return fitted.transform(test).drop("_features")
 
 
-def _is_small(train: DataFrame, rows=100_000) -> bool:
-    return train.limit(rows + 1).count() <= rows
-
-
 def forest_forecast(train: DataFrame, test: DataFrame, cols: Sequence[str] = LAG_FEATURES, trees=100, seed=42) -> DataFrame:
     """Random-forest regression on lags and calendar; adds ``yhat`` to ``test``."""
     model = RandomForestRegressor(

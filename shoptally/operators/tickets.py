@@ -41,10 +41,11 @@ def enrich_lines(lines: DataFrame, inventory: DataFrame, cols, product="product"
 
 
 def dedupe_first(df: DataFrame, key: str, order) -> DataFrame:
-    """One row per key: the first by ``order``. An aggregate, so a hot key is reduced before the shuffle."""
+    """One row per key: the first by ``order``, nulls last. An aggregate, so a hot key is reduced before the shuffle."""
     order = [order] if isinstance(order, str) else list(order)
     rest = [c for c in df.columns if c != key]
-    first = F.min(F.struct(*[F.col(c) for c in order], *[F.col(c) for c in rest if c not in order]))
+    nulls_last = [x for c in order for x in (F.col(c).isNull().alias(f"_no_{c}"), F.col(c))]
+    first = F.min(F.struct(*nulls_last, *[F.col(c) for c in rest if c not in order]))
     return df.groupBy(key).agg(first.alias("_first")).select(*[key if c == key else f"_first.{c}" for c in df.columns])
 
 

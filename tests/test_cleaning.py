@@ -121,3 +121,10 @@ def test_scalar_rules(spark):
     row = fn.rule_payment(fn.split_tax(df), "total", "hour", "dept").withColumn("dom", fn.dominant_role("a", "b")).first()
     assert round(row.net, 2) == 10.0 and round(row.tax, 2) == 1.8
     assert (row.pay_rule, row.confidence, row.dom) == ("YAPE", 0.84, "UTILES")
+
+
+def test_dedupe_first_puts_nulls_last(spark):
+    from shoptally.operators.tickets import dedupe_first
+
+    df = spark.createDataFrame([(1, None, "x"), (1, "LAPICEROS", "y"), (2, None, "z")], "id int, category string, note string")
+    assert {tuple(r) for r in dedupe_first(df, "id", "category").collect()} == {(1, "LAPICEROS", "y"), (2, None, "z")}

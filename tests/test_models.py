@@ -271,3 +271,14 @@ def test_clusters_are_partitioned(spark, tmp_path):
     df = spark.createDataFrame([(1, 0), (2, 1), (3, 1)], "id int, cluster int")
     sources.write_clusters(df, str(tmp_path / "c"))
     assert spark.read.parquet(str(tmp_path / "c")).filter("cluster = 1").count() == 2
+
+
+def test_payment_models_take_many_departments(spark):
+    from shoptally.operators import payment
+
+    rows = [(i, i % 2, f"dept{i % 60}", float(i % 7), float(i % 5), float(i % 3)) for i in range(300)]
+    names = "id long, target int, {} string, a double, b double, c double".format(next(iter(payment.CATEGORICAL.values())))
+    cols = [next(iter(payment.CATEGORICAL))]
+    train = spark.createDataFrame(rows, names)
+    for fitted in (payment.fit_forest(train, cols, trees=2, depth=2), payment.fit_boosted(train, cols, rounds=2, depth=2)):
+        assert fitted.transform(train).count() == 300
