@@ -23,7 +23,7 @@ def type_baskets(spark, sf):
 
 
 def type_itemsets(spark, sf):
-    return bk.frequent_itemsets(type_baskets(spark, sf), TYPE_SUPPORT, 3)
+    return bk.frequent_itemsets(type_baskets(spark, sf), TYPE_SUPPORT)
 
 
 def type_rules(spark, sf, min_lift=None):
@@ -31,19 +31,16 @@ def type_rules(spark, sf, min_lift=None):
 
 
 def _itemsets_cte(item, support):
-    """All itemsets of up to three items at a minimum support, as ``sets(items, k, freq, support)``."""
+    """All itemsets at a minimum support, as ``sets(items, freq, support, n)``: every non-empty subset of every ticket is counted."""
     return f"""
 , pairs AS (SELECT DISTINCT id, {item} AS item FROM lines),
 size AS (SELECT count(DISTINCT id) AS n FROM pairs),
+held AS (SELECT id, list_sort(list(item)) AS items FROM pairs GROUP BY id),
+subsets AS (SELECT items AS whole, unnest(generate_series(1, CAST(power(2, len(items)) AS BIGINT) - 1)) AS mask FROM held),
 found AS (
-  SELECT a.item AS i1, CAST(NULL AS VARCHAR) AS i2, CAST(NULL AS VARCHAR) AS i3, count(*) AS freq FROM pairs a GROUP BY 1
-  UNION ALL
-  SELECT a.item, b.item, NULL, count(*) FROM pairs a JOIN pairs b ON a.id = b.id AND a.item < b.item GROUP BY 1, 2
-  UNION ALL
-  SELECT a.item, b.item, c.item, count(*) FROM pairs a JOIN pairs b ON a.id = b.id AND a.item < b.item
-    JOIN pairs c ON c.id = b.id AND b.item < c.item GROUP BY 1, 2, 3),
-sets AS (SELECT list_filter([i1, i2, i3], lambda x: x IS NOT NULL) AS items, freq, freq / n AS support, n
-  FROM found, size WHERE freq >= ceil({support} * n))
+  SELECT list_filter(whole, lambda x, i: (mask >> CAST(i - 1 AS INTEGER)) & 1 = 1) AS items, count(*) AS freq
+  FROM subsets GROUP BY 1),
+sets AS (SELECT items, freq, freq / n AS support, n FROM found, size WHERE freq >= ceil({support} * n))
 """
 
 
@@ -105,7 +102,7 @@ def drop_rare_items(spark, sf):
     BRANDS + "SELECT array_to_string(items, '|') AS items, freq, round(support, 6) AS support, n FROM sets",
 )
 def frequent_itemsets(spark, sf):
-    found = bk.frequent_itemsets(brand_baskets(spark, sf), MIN_SUPPORT, 3)
+    found = bk.frequent_itemsets(brand_baskets(spark, sf), MIN_SUPPORT)
     return rounded(found.withColumn("items", F.array_join("items", "|")), support=6)
 
 
@@ -191,7 +188,7 @@ SELECT '{name}' AS level, (SELECT count(*) FROM sets) AS n_itemsets, count(*) AS
 )
 def granularity_table(spark, sf):
     levels = {"brand": brand_baskets(spark, sf), "type": type_baskets(spark, sf)}
-    table = bk.granularity_table(levels, 0.01, 3)
+    table = bk.granularity_table(levels, 0.01)
     return rounded(table, max_support=6, max_confidence=6, max_lift=6)
 
 
