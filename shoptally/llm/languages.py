@@ -28,6 +28,7 @@ LONGEST_PIECE = 12
 ROUNDS = 2
 SMOOTHING = 0.1
 CACHED = 300_000
+LETTER_BITS = 21  # of a code point
 MARK = "▁"
 UNKNOWN = "und"
 
@@ -42,6 +43,24 @@ def words_in(text: str) -> list[str]:
     return [w[i : i + LONGEST] for w in found for i in range(0, len(w), LONGEST)]
 
 
+class PrefixTree:
+    """Numbered texts as arrays: sorted edge keys (node, letter), the node behind each edge, the text that ends at each node."""
+
+    def __init__(self, numbers: dict[str, int]):
+        nodes, edges, ends = {"": 0}, {}, [-1]
+        for text in numbers:
+            for size in range(1, len(text) + 1):
+                prefix = text[:size]
+                if prefix not in nodes:
+                    nodes[prefix] = len(ends)
+                    ends.append(numbers.get(prefix, -1))
+                    edges[nodes[prefix[:-1]] << LETTER_BITS | ord(prefix[-1])] = nodes[prefix]
+        keys = sorted(edges)
+        self.keys = np.array([*keys, np.iinfo(np.int64).max], dtype=np.int64)  # a search never runs off the end
+        self.behind = np.array([edges[k] for k in keys], dtype=np.int64)
+        self.ends = np.array(ends, dtype=np.int32)
+
+
 class Pieces:
     """The pieces of a vocabulary file that can make up words, numbered; number 0 is the stand-in."""
 
@@ -55,13 +74,26 @@ class Pieces:
         self.count = len(self.numbers) + 1
 
     def spans(self, words: list[str]) -> np.ndarray:
-        """For marked words of one length n: piece number of each (word, length - 1, start), -1 where no piece fits."""
+        """For marked words of one length n: piece number of each (word, length - 1, start), -1 where no piece fits.
+
+        All starts of all words walk down the prefix tree together; those whose letters begin no piece drop out.
+        """
+        if not hasattr(self, "tree"):  # the driver needs none
+            self.tree = PrefixTree(self.numbers)
+        tree = self.tree
         n = len(words[0])
+        letters = np.array(words, dtype=f"U{n}").view(np.uint32).reshape(len(words), n).astype(np.int64)
         out = np.full((len(words), min(n, LONGEST_PIECE), n), -1, dtype=np.int32)
-        known = self.numbers.get
-        for size in range(1, min(n, LONGEST_PIECE) + 1):
-            for start in range(n - size + 1):
-                out[:, size - 1, start] = [known(w[start : start + size], -1) for w in words]
+        word, start = np.divmod(np.arange(letters.size), n)
+        node = np.zeros(letters.size, dtype=np.int64)
+        for size in range(1, out.shape[1] + 1):
+            inside = start + size <= n
+            word, start, node = word[inside], start[inside], node[inside]
+            key = node << LETTER_BITS | letters[word, start + size - 1]
+            at = np.searchsorted(tree.keys, key)
+            known = tree.keys[at] == key
+            word, start, node = word[known], start[known], tree.behind[at[known]]
+            out[word, size - 1, start] = tree.ends[node]
         single = out[:, 0, :]
         single[single < 0] = 0
         return out
