@@ -5,7 +5,7 @@ All columns arrive as text under our names; the clean operators give them types.
 
 from __future__ import annotations
 
-import csv
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,8 +14,6 @@ from pyspark.sql import functions as F
 from shoptally.functions.text import payment_label
 from shoptally.schemas import INVENTORY_COLUMNS, LINES_COLUMNS, SALES_COLUMNS
 
-HEAD_LINES = 20
-
 
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether a path exists on its file system."""
@@ -24,42 +22,61 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop_path)
 
 
-def _head(spark: SparkSession, path: str, n=HEAD_LINES) -> list[str]:
-    return [r.value.lstrip("﻿") for r in spark.read.text(path).limit(n).collect()]
+def _fields(line, sep: str):
+    """Fields of a header line: without quotes, blanks and byte-order mark."""
+    return F.transform(F.split(F.regexp_replace(line, "^\ufeff", ""), re.escape(sep)), lambda f: F.trim(F.regexp_replace(f, '"', "")))
 
 
-def _fields(line: str, sep: str) -> list[str]:
-    return [f.strip() for f in next(csv.reader([line], delimiter=sep))] if line else []
+def _header(spark: SparkSession, path: str, names: dict[str, str], sep: str) -> list[str] | None:
+    """Fields of the first line, anywhere in the file, that holds the first two of ``names``."""
+    first, second = list(names)[:2]
+    lines = spark.read.text(path).select(_fields("value", sep).alias("f"))
+    found = lines.filter(F.array_contains("f", first) & F.array_contains("f", second)).limit(1).collect()
+    return list(found[0].f) if found else None
 
 
-def sniff_delimiter(spark: SparkSession, path: str, candidates: Sequence[str] = (";", ",")) -> str:
-    """First candidate that splits one of the leading lines into several columns."""
-    lines = _head(spark, path)
+def sniff_delimiter(spark: SparkSession, path: str, candidates: Sequence[str] = (";", ","), names: dict[str, str] = INVENTORY_COLUMNS) -> str:
+    """First candidate that splits a line into the header; without a header, the first that splits any line."""
     for sep in candidates:
-        if any(sum(bool(f) for f in _fields(line, sep)) > 1 for line in lines):
+        if _header(spark, path, names, sep):
+            return sep
+    for sep in candidates:
+        filled = F.size(F.filter(_fields("value", sep), lambda f: f != ""))
+        if spark.read.text(path).filter(filled > 1).limit(1).collect():
             return sep
     return candidates[0]
 
 
 def _read(spark: SparkSession, path: str, names: dict[str, str], sep: str) -> DataFrame:
-    """Rows below the header as text columns; preamble lines, repeated headers and ghost columns are left out."""
-    line = F.regexp_replace("value", "^﻿", "")
-    text = spark.read.text(path).select(line.alias("value"))
+    """Rows below the header as text columns; lines above it, repeated headers and ghost columns are left out.
+
+    The header is found by its place in each file, however far down. Quoted fields may hold line breaks, so a file is read
+    by one task. A file of the path without a header keeps all its rows.
+    """
     first, second = list(names)[:2]
-    found = text.filter(F.col("value").contains(first) & F.col("value").contains(second)).limit(1).collect()
-    header = _fields(found[0].value, sep) if found else []
-    if first not in header:
+    header = _header(spark, path, names, sep)
+    if header is None:
         raise ValueError(f"no header with the columns {first} and {second} in {path}")
     columns = [names.get(h, f"Unnamed: {i}" if not h else h) for i, h in enumerate(header)]
     wanted = list(dict.fromkeys(c for c in columns if not c.startswith("Unnamed")))
     schema = ", ".join(f"`c{i}` string" for i in range(len(columns)))
-    # Lines above the header, when it is near the top of the file.
-    head = _head(spark, path)
-    top = head.index(found[0].value) if found[0].value in head else 0
-    text = text.filter(~F.col("value").isin([found[0].value, *head[:top]]))
-    options = {"sep": sep, "quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": "false"}
-    parsed = text.select(F.from_csv("value", schema, options).alias("r"))
-    return parsed.select(*[F.col(f"r.c{columns.index(c)}").alias(c) for c in wanted])
+    options = {"sep": sep, "quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": "false", "multiLine": "true"}
+    parsed = spark.read.options(**options).schema(schema).csv(path)
+    # Ids grow along a file, so they tell what lies above its header.
+    rows = parsed.select(
+        F.regexp_replace("c0", "^\ufeff", "").alias("c0"),
+        *[f"c{i}" for i in range(1, len(columns))],
+        F.col("_metadata.file_path").alias("_file"),
+        F.monotonically_increasing_id().alias("_place"),
+    )
+    is_header = F.lit(True)
+    for i, h in enumerate(header):
+        is_header = is_header & (F.trim(F.coalesce(F.regexp_replace(f"c{i}", '"', ""), F.lit(""))) == h)
+    heads = rows.filter(is_header).groupBy("_file").agg(F.min("_place").alias("_top"))
+    if heads.isEmpty():
+        raise ValueError(f"the header of {path} lies inside a quoted field")
+    below = rows.join(F.broadcast(heads), "_file", "left").filter((F.col("_place") > F.coalesce("_top", F.lit(-1))) & ~is_header)
+    return below.select(*[F.col(f"c{columns.index(c)}").alias(c) for c in wanted])
 
 
 def read_sales(spark: SparkSession, path: str, sep=";") -> DataFrame:

@@ -282,3 +282,15 @@ def test_payment_models_take_many_departments(spark):
     train = spark.createDataFrame(rows, names)
     for fitted in (payment.fit_forest(train, cols, trees=2, depth=2), payment.fit_boosted(train, cols, rounds=2, depth=2)):
         assert fitted.transform(train).count() == 300
+
+
+def test_readers_find_the_header_by_position(spark, tmp_path):
+    top = ["4;2026-05-04;Cash;7;1.0", *[f"9{i};2026-05-04;Cash;7;1.0" for i in range(29)]]
+    body = ["ID;Fecha;Metodo_Pago;ID_Cliente;Total", "4;2026-05-04;Cash;7;1.0", '5;2026-05-04;"Ca\nsh";7;2.0', "ID;Fecha;Metodo_Pago;ID_Cliente;Total", "6;2026-05-04;Cash;7;3.0"]
+    sales = _write(tmp_path / "deep.csv", "\n".join([*top, *body]) + "\n")
+    assert sorted((r.id, r.total) for r in sources.read_sales(spark, sales).collect()) == [("4", "1.0"), ("5", "2.0"), ("6", "3.0")]
+    lines = _write(tmp_path / "lines.csv", "\n".join(["4;x;y", *["note"] * 25, "ID_Venta;ID_Producto;Departamento;Descripcion", '4;x;y;"a\nb; c"', "4;x;y"]) + "\n")
+    assert sorted((r.id, r.description or "") for r in sources.read_lines(spark, lines).collect()) == [("4", ""), ("4", "a\nb; c")]
+    stock = _write(tmp_path / "stock.csv", "\n".join(["a;b;c"] * 30 + ["ID,Descripcion,Categoria", "1,x;y,z"]) + "\n")
+    assert sources.sniff_delimiter(spark, stock) == ","
+    assert [(r.id, r.description, r.category) for r in sources.read_inventory(spark, stock).collect()] == [("1", "x;y", "z")]
