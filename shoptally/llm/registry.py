@@ -15,6 +15,9 @@ MODULES = (
     "personal_data",
     "languages",
     "byte_pairs",
+    "lines",
+    "fill_in_middle",
+    "spelling",
 )
 
 
