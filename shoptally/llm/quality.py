@@ -4,7 +4,9 @@ Each document is measured once. Values fall into logarithmic buckets (ratio ``GA
 language and source are a quantile sketch of bounded relative error: two sketches merge by adding counts, in any order
 and with the same result, so the sketches of a language and of the whole corpus are sums of those of its sources.
 A threshold is the upper fence q75 + ``FENCE`` * (q75 - q25) of a measure in its language and source, or in the nearest
-larger population while the group has fewer than ``MIN_GROUP`` documents. Thresholds are joined to the measures.
+larger population while the group has fewer than ``MIN_GROUP`` documents. Where the quartiles lie closer together than one
+step of the measure in a document of median size, that step takes the place of their distance; median sizes come from
+sketches of the same population, so no threshold is a fixed number. Thresholds are joined to the measures.
 """
 
 from __future__ import annotations
@@ -25,10 +27,12 @@ MAX_REPEAT_PERCENT = 30
 GAMMA = 1.02
 FENCE = 6.0
 MIN_GROUP = 200
-QUANTILES = {"low": 0.25, "high": 0.75}
+QUANTILES = {"low": 0.25, "middle": 0.5, "high": 0.75}
 
-# Least fence of each measure: what lies below is never an outlier, however even its group may be.
-FLOORS = {"symbols_per_word": 0.1, "chars_per_word": 10.0, "dup_lines_per_line": 0.3, "repeats_per_word": 0.2}
+# Each measure's smallest step, in units of its document size: one symbol or character of the words, one line of the lines,
+# one repeated window.
+STEPS = {"symbols_per_word": (1, "n_words"), "chars_per_word": (1, "n_words"), "dup_lines_per_line": (1, "n_lines"), "repeats_per_word": (WINDOW, "n_words")}
+SIZES = ("n_words", "n_lines")
 
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
@@ -96,8 +100,9 @@ def ratios() -> dict:
 
 
 def sketch(measured: DataFrame, groups=("lang", "source")) -> DataFrame:
-    """Bucket counts ``(*groups, measure, bucket, n)`` of every ratio; zero has a bucket of its own (null)."""
-    values = F.explode(F.create_map(*[x for name, c in ratios().items() for x in (F.lit(name), c)]))
+    """Bucket counts ``(*groups, measure, bucket, n)`` of every ratio and size; zero has a bucket of its own (null)."""
+    sizes = {name: F.col(name).cast("double") for name in SIZES}
+    values = F.explode(F.create_map(*[x for name, c in {**ratios(), **sizes}.items() for x in (F.lit(name), c)]))
     bucket = F.when(F.col("value") > 0, F.ceil(F.log(F.col("value")) / math.log(GAMMA)))
     return (
         measured.select(*groups, values.alias("measure", "value"))
@@ -111,8 +116,8 @@ def merge(sketches: DataFrame, groups=()) -> DataFrame:
     return sketches.groupBy(*groups, "measure", "bucket").agg(F.sum("n").alias("n"))
 
 
-def fences(sketches: DataFrame, groups=(), least=1) -> DataFrame:
-    """``(*groups, measure, fence)`` for groups of at least ``least`` documents."""
+def quartiles(sketches: DataFrame, groups=(), least=1) -> DataFrame:
+    """``(*groups, measure, low, middle, high)`` for groups of at least ``least`` documents."""
     by = W.partitionBy(*groups, "measure")
     running = by.orderBy(F.col("bucket").asc_nulls_first())
     value = F.when(F.col("bucket").isNull(), 0.0).otherwise(2 * F.pow(F.lit(GAMMA), F.col("bucket")) / (GAMMA + 1))
@@ -123,23 +128,29 @@ def fences(sketches: DataFrame, groups=(), least=1) -> DataFrame:
     found = at.groupBy(*groups, "measure").agg(
         *[c.alias(name) for name, c in quantile.items()], F.max("_all").alias("_all")
     )
-    floor = F.element_at(F.create_map(*[x for k, v in FLOORS.items() for x in (F.lit(k), F.lit(v))]), F.col("measure"))
-    fence = F.greatest(F.col("high") + FENCE * (F.col("high") - F.col("low")), floor)
-    return found.filter(F.col("_all") >= least).select(*groups, "measure", fence.alias("fence"))
+    return found.filter(F.col("_all") >= least).select(*groups, "measure", *QUANTILES)
 
 
-def _by_measure(df: DataFrame, groups, prefix: str) -> DataFrame:
-    return df.groupBy(*groups).agg(
-        *[F.max(F.when(F.col("measure") == m, F.col("fence"))).alias(f"{prefix}_{m}") for m in FLOORS]
-    )
+def fences(sketches: DataFrame, groups=(), least=1, prefix="fence") -> DataFrame:
+    """One row ``(*groups, <prefix>_<measure>, ...)`` for each group of at least ``least`` documents."""
+
+    def of(measure, name):
+        return F.max(F.when(F.col("measure") == measure, F.col(name)))
+
+    columns = []
+    for measure, (step, size) in STEPS.items():
+        least_spread = step / F.greatest(of(size, "middle"), F.lit(1.0))
+        high = of(measure, "high")
+        columns.append((high + FENCE * F.greatest(high - of(measure, "low"), least_spread)).alias(f"{prefix}_{measure}"))
+    return quartiles(sketches, groups, least).groupBy(*groups).agg(*columns)
 
 
 def thresholds(measured: DataFrame, min_group=MIN_GROUP) -> DataFrame:
     """One row per language and source (nulls are a value) with the fence of each measure."""
     own = checkpointed(sketch(measured))
-    by_source = _by_measure(fences(own, ("lang", "source"), min_group), ("lang", "source"), "s")
-    by_lang = _by_measure(fences(merge(own, ("lang",)), ("lang",), min_group), ("lang",), "l")
-    overall = _by_measure(fences(merge(own)), (), "a")
+    by_source = fences(own, ("lang", "source"), min_group, "s")
+    by_lang = fences(merge(own, ("lang",)), ("lang",), min_group, "l")
+    overall = fences(merge(own), prefix="a")
     groups = own.select("lang", "source").distinct()
     joined = (
         groups.alias("g")
@@ -152,7 +163,7 @@ def thresholds(measured: DataFrame, min_group=MIN_GROUP) -> DataFrame:
         "g.source",
         *[
             F.coalesce(f"s_{m}", f"l_{m}", F.lit(general[f"a_{m}"] if general else None).cast("double")).alias(f"fence_{m}")
-            for m in FLOORS
+            for m in STEPS
         ],
     )
 
@@ -161,19 +172,19 @@ def judge(docs: DataFrame, min_group=MIN_GROUP) -> DataFrame:
     """Measures of every document with ``base_failed`` and ``kept``.
 
     ``docs`` needs ``text``, ``lang`` and ``source``; all other columns pass through. ``base_failed`` holds for fewer than
-    20 words, or more than 30 % of the words in repeated windows. Others are kept unless a ratio lies above its fence.
+    20 words, or more than 30 % of the words in repeated windows. Others are kept unless a ratio lies above its fence. An input
+    column ``_limit`` is dropped.
     Null languages and sources form groups of their own; null and empty texts fail; repeated rows are judged alike; an
     empty table gives an empty result.
     """
     measured = checkpointed(measures(docs))
-    limits = checkpointed(thresholds(measured, min_group)).select(
-        F.col("lang").alias("_lang"), F.col("source").alias("_source"), *[f"fence_{m}" for m in FLOORS]
-    )
+    limits = checkpointed(thresholds(measured, min_group)).select(F.struct("*").alias("_limit"))
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
     inside = F.lit(True)
     for name, value in ratios().items():
-        inside = inside & (value <= F.col(f"fence_{name}"))
-    joined = measured.join(limits, F.expr("lang <=> _lang AND source <=> _source"), "left")
+        inside = inside & (value <= F.col(f"_limit.fence_{name}"))
+    measured = measured.drop("_limit")
+    joined = measured.join(limits, F.expr("lang <=> _limit.lang AND source <=> _limit.source"), "left")
     return joined.select(
         *[c for c in measured.columns if c not in ("base_failed", "kept")],
         failed.alias("base_failed"),
@@ -195,7 +206,7 @@ def op6_quality_rules(spark, sf_dir: str) -> DataFrame:
 QUERIES = {"op6_quality_rules": op6_quality_rules}
 
 _WORDS = r"list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '')"
-_FLOORS = ", ".join(f"('{m}', {v}::DOUBLE)" for m, v in FLOORS.items())
+_STEPS = ", ".join(f"('{m}', {step}::DOUBLE, '{size}')" for m, (step, size) in STEPS.items())
 
 ORACLES = {
     "op6_quality_rules": rf"""
@@ -221,7 +232,8 @@ r AS (
     {{'measure': 'symbols_per_word', 'v': n_symbols / greatest(n_words, 1)}},
     {{'measure': 'chars_per_word', 'v': word_chars / greatest(n_words, 1)}},
     {{'measure': 'dup_lines_per_line', 'v': n_dup_lines / greatest(n_lines, 1)}},
-    {{'measure': 'repeats_per_word', 'v': n_repeat_words / greatest(n_words, 1)}}], recursive := true)
+    {{'measure': 'repeats_per_word', 'v': n_repeat_words / greatest(n_words, 1)}},
+    {{'measure': 'n_words', 'v': n_words::DOUBLE}}, {{'measure': 'n_lines', 'v': n_lines::DOUBLE}}], recursive := true)
   FROM m),
 b AS (
   SELECT *, CASE WHEN v > 0 THEN 2 * pow({GAMMA}, ceil(ln(v) / {math.log(GAMMA)!r})) / ({GAMMA} + 1) ELSE 0 END AS x
@@ -235,12 +247,14 @@ ranked AS (
          count(*) OVER (PARTITION BY level, l, s, measure) AS n FROM levels),
 fences AS (
   SELECT level, l, s, measure, n,
-         max(x) FILTER (k = ceil(0.75 * n)) AS high, max(x) FILTER (k = ceil(0.25 * n)) AS low
+         max(x) FILTER (k = ceil(0.75 * n)) AS high, max(x) FILTER (k = ceil(0.25 * n)) AS low,
+         max(x) FILTER (k = ceil(0.5 * n)) AS middle
   FROM ranked GROUP BY ALL),
 limits AS (
-  SELECT level, l, s, f.measure, greatest(high + {FENCE} * (high - low), floor) AS fence
-  FROM fences f JOIN (VALUES {_FLOORS}) t(measure, floor) USING (measure)
-  WHERE level = 3 OR n >= {MIN_GROUP}),
+  SELECT f.level, f.l, f.s, f.measure, f.high + {FENCE} * greatest(f.high - f.low, step / greatest(z.middle, 1)) AS fence
+  FROM fences f JOIN (VALUES {_STEPS}) t(measure, step, size) ON f.measure = t.measure
+  JOIN fences z ON z.measure = t.size AND z.level = f.level AND z.l IS NOT DISTINCT FROM f.l AND z.s IS NOT DISTINCT FROM f.s
+  WHERE f.level = 3 OR f.n >= {MIN_GROUP}),
 outside AS (
   SELECT doc_id, bool_or(v > coalesce(f1.fence, f2.fence, f3.fence)) AS out
   FROM b
