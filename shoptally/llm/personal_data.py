@@ -51,13 +51,14 @@ HINTS = {
 AGAINST = ("version", "isbn", "page", "figure", "order", "chapter", "vol.", "no.")
 
 _CANDIDATES = {
-    "email": re.compile(r"[A-Za-z0-9._%+-]{1,64}\x20?[(\[]\x20?at\x20?[)\]]\x20?[A-Za-z0-9-]{1,63}(?:\x20?(?:\.|[(\[]\x20?dot\x20?[)\]])\x20?[A-Za-z0-9-]{1,63}){1,4}"),
+    "email": re.compile(r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++\x20?[(\[]\x20?at\x20?[)\]]\x20?[A-Za-z0-9-]++(?:\x20?(?:\.|[(\[]\x20?dot\x20?[)\]])\x20?[A-Za-z0-9-]++)+"),
     "phone": re.compile(r"(?<![0-9.+-])(?:\([0-9]{3}\)\x20?|[0-9]{3}[-.\x20])?[0-9]{3}[-.][0-9]{4}(?![0-9.-])"),
     "secret": re.compile(r"(?i)\b(?:token|secret|password|passwd|api[_-]?key)\b\x20?[=:]\x20?[\"']?([A-Za-z0-9_/+-]{12,})"),
     "national_id": re.compile(r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"),
-    "name": re.compile(r"\b(?:" + "|".join(FIRST_NAMES) + r")\x20[A-Z][a-z]{2,20}\b"),
+    "name": re.compile(r"\b(?:" + "|".join(FIRST_NAMES) + r")\x20[A-Z][a-z]{2,}\b"),
 }
 _CONTEXT = 30
+PRIOR = 0.05  # weight of the labelers' prior, as a share of all spans
 
 
 def _emails(text: str):
@@ -128,14 +129,16 @@ def all_spans(text: str | None) -> list[tuple[int, ...]]:
         return []
     sure = exact_spans(text)
     out = [(k, s, e, 1, *_votes(text, KINDS[k], s, e, True)) for k, s, e in sure]
-    taken = [(s, e) for _, s, e in sure]
+    taken = bytearray(len(text))
+    for _, s, e in sure:
+        taken[s:e] = b"\1" * (e - s)
     for kind, pattern in _CANDIDATES.items():
         if kind == "email" and "at" not in text:
             continue
         for m in pattern.finditer(text):
             s, e = m.span(1) if m.re.groups else m.span()
-            if not any(s < b and a < e for a, b in taken):
-                taken.append((s, e))
+            if 1 not in taken[s:e]:
+                taken[s:e] = b"\1" * (e - s)
                 out.append((KINDS.index(kind), s, e, 0, *_votes(text, kind, s, e, False)))
     return out
 
@@ -156,22 +159,32 @@ def spans_of(text: str):
     return spans(text)
 
 
-def reliabilities(votes: np.ndarray, counts: np.ndarray, rounds=100) -> tuple[np.ndarray, np.ndarray]:
+def reliabilities(votes: np.ndarray, counts: np.ndarray, sure: np.ndarray | None = None, rounds=100) -> tuple[np.ndarray, np.ndarray]:
     """Dawid-Skene by expectation-maximisation on distinct vote rows: P(vote | truth) for each labeler, posterior of each row.
 
-    Starts from the share of positive among the votes cast; counts get one pseudo-vote each.
+    Rows that are ``sure`` are true. Three things tie the classes down, whatever the size of the corpus: labelers start from a
+    prior of being better than chance, worth ``PRIOR`` of the rows; a labeler that the data makes worse than chance counts as
+    one that knows nothing; and no row may be less probable than one that every labeler votes against or not for as much, so a
+    row with all votes in favour is at least as probable as the share of true rows.
     """
+    sure = np.zeros(len(votes), dtype=bool) if sure is None else sure
     cast = np.maximum(1, (votes != 0).sum(axis=1))
-    truth = np.clip(0.5 + votes.sum(axis=1) / (2 * cast), 0.05, 0.95)
+    truth = np.where(sure, 1.0, np.clip(0.5 + votes.sum(axis=1) / (2 * cast), 0.05, 0.95))
+    pseudo = 1.0 + PRIOR * counts.sum() * np.array([[0.6, 0.2, 0.2], [0.2, 0.2, 0.6]])[:, None, :]
     table_ = np.zeros((2, votes.shape[1], 3))
     for _ in range(rounds):
         weights = np.stack([counts * (1 - truth), counts * truth])
         for v in (-1, 0, 1):
-            table_[:, :, v + 1] = weights @ (votes == v) + 1.0
+            table_[:, :, v + 1] = weights @ (votes == v)
+        table_ += pseudo
         table_ /= table_.sum(axis=2, keepdims=True)
-        prior = (weights.sum(axis=1) + 1) / (weights.sum() + 2)
-        scores = np.log(prior)[:, None] + sum(np.log(table_[:, j, votes[:, j] + 1]) for j in range(votes.shape[1]))
-        new = 1 / (1 + np.exp(np.clip(scores[0] - scores[1], -50, 50)))
+        ratio = np.log(table_[1]) - np.log(table_[0])
+        ratio[:, 0], ratio[:, 2] = np.minimum(ratio[:, 0], 0.0), np.maximum(ratio[:, 2], 0.0)
+        ratio[:, 1] = np.clip(ratio[:, 1], ratio[:, 0], ratio[:, 2])
+        loose = counts * ~sure
+        prior = ((loose * truth).sum() + 1 + PRIOR * counts.sum()) / (loose.sum() + 2 + 2 * PRIOR * counts.sum())
+        score = np.log(prior / (1 - prior)) + sum(ratio[j, votes[:, j] + 1] for j in range(votes.shape[1]))
+        new = np.where(sure, 1.0, 1 / (1 + np.exp(np.clip(-score, -50, 50))))
         if np.abs(new - truth).max() < 1e-9:
             break
         truth = new
@@ -203,12 +216,12 @@ def train_classifier(rows: np.ndarray, truth: np.ndarray, counts: np.ndarray, ri
 def fit(spanned: DataFrame) -> np.ndarray:
     """Classifier weights from a table with a column ``spans``; only counts of vote and feature combinations are collected."""
     each = spanned.select(F.explode("spans").alias("s")).select("s.*")
-    keys = [f for f in FIELDS if f not in ("start", "end", "exact")]
+    keys = [f for f in FIELDS if f not in ("start", "end")]
     found = each.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).toPandas().sort_values(keys)
     if not len(found):
         return train_classifier(np.zeros((0, 5), dtype=int), np.zeros(0), np.zeros(0))
     counts = found.n.to_numpy(dtype=float)
-    _, truth = reliabilities(found[list(VOTES)].to_numpy(), counts)
+    _, truth = reliabilities(found[list(VOTES)].to_numpy(), counts, found["exact"].to_numpy() == 1)
     return train_classifier(found[list(FEATURES)].to_numpy(), truth, counts)
 
 
@@ -259,15 +272,21 @@ def redact(text: str | None, spans) -> str | None:
 
 
 def redacted(docs: DataFrame) -> DataFrame:
-    """``docs`` with personal data in ``text`` replaced by placeholders. Columns as in ``docs``; clean texts stay as they are."""
-    weights = fit(docs.select(spans_of("text").alias("spans")))
+    """``docs`` with personal data in ``text`` replaced by placeholders, all columns as in ``docs``.
+
+    Clean, empty and null texts stay as they are, rows that repeat are treated alike, an empty table gives an empty result.
+    The texts are searched once: rows and spans are written together.
+    """
+    found = checkpointed(docs.select(F.struct(*[F.col(c).alias(f"c{i}") for i, c in enumerate(docs.columns)]).alias("row"), spans_of("text").alias("spans")))
+    weights = fit(found)
 
     @F.pandas_udf("string")
-    def clean(text: pd.Series) -> pd.Series:
-        spans = ([dict(zip(FIELDS, s, strict=True)) for s in all_spans(t)] for t in text)
+    def clean(text: pd.Series, spans: pd.Series) -> pd.Series:
         return pd.Series([redact(t, accepted(s, weights)) for t, s in zip(text, spans, strict=True)], dtype=object)
 
-    return docs.withColumn("text", clean("text")).select(*docs.columns)
+    places = {c: f"row.c{i}" for i, c in enumerate(docs.columns)}
+    cleaned = F.when(F.size("spans") > 0, clean(F.when(F.size("spans") > 0, F.col(places["text"])), "spans")).otherwise(F.col(places["text"]))
+    return found.select(*[(cleaned if c == "text" else F.col(places[c])).alias(c) for c in docs.columns])
 
 
 def op8_personal_data(spark, sf_dir: str) -> DataFrame:
