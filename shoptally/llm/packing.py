@@ -12,6 +12,7 @@ Pieces find their place by their rank among the pieces of their length, computed
 from __future__ import annotations
 
 import zlib
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -21,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 from shoptally.llm.common import table
-from shoptally.llm.word_tokens import document_ids, word_ids
+from shoptally.llm.word_tokens import document_ids, known_words
 from shoptally.session import checkpointed
 
 CAPACITY = 4096
@@ -88,21 +89,21 @@ def pieces(docs: DataFrame, vocabulary: str, capacity=CAPACITY, end_id=END_ID, w
     ``tag`` tells apart rows that share an id. ``ids`` are little-endian unsigned 32-bit integers.
     """
 
-    def cuts(text):
-        ids = document_ids(text, word_ids(vocabulary), end_id)
+    def cuts(text, known):
+        ids = document_ids(text, known, end_id)
         data = memoryview(ids).cast("B")
-        out = []
         for start in range(0, len(ids), capacity):
             stop = min(start + capacity, len(ids))
             part = data[4 * start : 4 * stop]
-            out.append((start, stop - start, zlib.crc32(part), len(ids), bytes(part) if with_ids else None))
-        return out
+            yield {"start": start, "length": stop - start, "ids_crc32": zlib.crc32(part), "doc_tokens": len(ids), "ids": bytes(part) if with_ids else None}
 
     fields = "start long, length long, ids_crc32 long, doc_tokens long, ids binary"
 
     @F.pandas_udf(f"array<struct<{fields.replace(' ', ':').replace(',:', ',')}>>")
-    def cut(text: pd.Series) -> pd.Series:
-        return pd.Series([[dict(zip(("start", "length", "ids_crc32", "doc_tokens", "ids"), c, strict=True)) for c in cuts(t)] for t in text])
+    def cut(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        with known_words(vocabulary) as known:
+            for texts in batches:
+                yield pd.Series([list(cuts(text, known)) for text in texts], dtype=object)
 
     found = docs.select("doc_id", F.hash("text").alias("tag"), F.explode(cut("text")).alias("p")).select("doc_id", "tag", "p.*")
     return found if with_ids else found.drop("ids")

@@ -8,6 +8,8 @@ by slot: slot s is record ``s % per_shard`` of shard ``s // per_shard``.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -15,7 +17,7 @@ from pyspark.sql import functions as F
 
 from shoptally.llm.common import part_count, table
 from shoptally.llm.packing import vocabulary_path
-from shoptally.llm.word_tokens import document_ids, word_ids
+from shoptally.llm.word_tokens import document_ids, known_words
 from shoptally.session import scratch_path
 
 LENGTH = 1024
@@ -57,13 +59,17 @@ def sequences(docs: DataFrame, vocabulary: str, length=LENGTH, end_id=END_ID) ->
     """
 
     @F.pandas_udf("array<struct<start:long,n_tokens:long,ids:binary>>")
-    def cut(text: pd.Series) -> pd.Series:
-        known, out = word_ids(vocabulary), []
-        for t in text:
-            ids = np.frombuffer(document_ids(t, known, end_id), dtype="<u4").astype("<u2")
-            runs = [ids[i : i + length] for i in range(0, len(ids), length)]
-            out.append([{"start": i * length, "n_tokens": len(r), "ids": r.tobytes()} for i, r in enumerate(runs)])
-        return pd.Series(out, dtype=object)
+    def cut(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        with known_words(vocabulary) as known:
+            if len(known.ends_word) > 1 << 16:
+                raise ValueError("ids of this vocabulary do not fit two bytes")
+            for texts in batches:
+                out = []
+                for text in texts:
+                    ids = np.frombuffer(document_ids(text, known, end_id), dtype="<u4").astype("<u2")
+                    runs = [ids[i : i + length] for i in range(0, len(ids), length)]
+                    out.append([{"start": i * length, "n_tokens": len(r), "ids": r.tobytes()} for i, r in enumerate(runs)])
+                yield pd.Series(out, dtype=object)
 
     made = docs.select("doc_id", F.explode(cut("text")).alias("s"))
     return made.select(F.monotonically_increasing_id().alias("row"), "doc_id", "s.*")

@@ -6,78 +6,106 @@ worker encodes each different word once.
 
 from __future__ import annotations
 
+import os
 from array import array
+from collections.abc import Iterator
+from contextlib import contextmanager
+from unicodedata import normalize
 
 import numpy as np
 
 from shoptally.llm.common import words_of
 
-CACHED_WORDS = 600_000
+CACHED_BYTES = 48_000_000  # of words and ids; a worker takes about twice that with the table around them
 LONGEST_CACHED = 100
+PER_ENTRY = 120  # bytes that an entry takes besides its text
+
+# Byte -> character of byte-level vocabularies: visible Latin-1 characters stand for themselves, the others follow U+00FF.
+_HIDDEN = [*range(0x21), *range(0x7F, 0xA1), 0xAD]
+AS_CHARACTERS = {byte: 0x100 + place for place, byte in enumerate(_HIDDEN)}
 
 # Marks that the vocabulary's pattern always parts from a letter before them.
 MARKS = frozenset((b".", b",", b";", b":", b"!", b"?"))
 
 
-class WordIds(dict):
-    """Word (UTF-8) -> bytes of its ids, filled on demand; a text that finds over ``CACHED_WORDS`` words in it starts it anew."""
+class WordIds:
+    """Word (UTF-8) -> bytes of its ids, filled on demand and started anew when it holds ``CACHED_BYTES``."""
 
     def __init__(self, path: str):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
         from tokenizers import Tokenizer
 
-        super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # names of special tokens in a text are ordinary text
-
         vocabulary = self.tokenizer.get_vocab()
         self.ends_word = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
         self.ends_word[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
+        self.known: dict[bytes, bytes] = {}
+        self.held = 0
 
-    def __missing__(self, word: bytes):
-        ids = array("I", self.tokenizer.encode(word.decode("utf-8", "replace"), add_special_tokens=False).ids).tobytes()
-        if len(word) <= LONGEST_CACHED:
-            self[word] = ids
-        return ids
+    def forget(self) -> None:
+        self.known, self.held = {}, 0
 
     def learn(self, words) -> None:
-        """Encode new words together: all that are letters only, or letters before one last mark, in one call.
+        """Encode new words.
 
-        Such a word has one token that ends it, so the ids of the call part after these tokens; should their number not be
-        the number of words, the words are left to be encoded one by one.
+        The vocabulary's pattern takes a run of letters as one piece, its normalisation composes and lower-cases it, and its
+        bytes are written as characters. For letters below U+0100, which are composed already, lower-casing and the table
+        ``AS_CHARACTERS`` are all of that, so they go to the merges directly, as does such a run before one last mark, which
+        the pattern parts. Other runs of letters are encoded in one text and parted after the tokens that end a word; should
+        these not be as many as the words, and for all remaining words, each word is a text of its own.
         """
-        stems, marked = {}, []
+        known, marked, plain, letters, others = self.known, [], {}, {}, []
         for word in words:
-            if len(word) > LONGEST_CACHED:
+            stem = word[:-1] if word[-1:] in MARKS and len(word) > 1 else word
+            text = stem.decode("utf-8", "replace")
+            if not text.isalpha() or not (text.isascii() or normalize("NFC", text).lower().isalpha()):  # lower case may bring a mark of its own
+                others.append(word)
                 continue
-            if word[-1:] in MARKS and len(word) > 1:
-                stem = word[:-1]
+            if stem is not word:
                 marked.append((word, stem))
-                word = stem
-            text = word.decode("utf-8", "replace")
-            if text.isalpha():
-                stems[word] = text
-        if stems:
-            ids = self.tokenizer.encode_batch_fast([" ".join(stems.values())], add_special_tokens=False)[0].ids
+            if stem not in known:
+                if text.isascii():
+                    plain[stem] = text.lower()
+                elif max(text) < "\u0100":
+                    plain[stem] = text.lower().encode().decode("latin-1").translate(AS_CHARACTERS)
+                else:
+                    letters[stem] = text
+        merges = self.tokenizer.model.tokenize
+        for stem, text in plain.items():
+            known[stem] = array("I", [t.id for t in merges(text)]).tobytes()
+        if letters:
+            ids = self.tokenizer.encode_batch_fast([" ".join(letters.values())], add_special_tokens=False)[0].ids
             stops = (4 * np.flatnonzero(self.ends_word[ids]) + 4).tolist()
-            if len(stops) != len(stems):
-                return
-            data, start = array("I", ids).tobytes(), 0
-            for word, stop in zip(stems, stops, strict=True):
-                self[word] = data[start:stop]
-                start = stop
-            for word, stem in marked:
-                if stem in stems:
-                    self[word] = self[stem] + self[word[-1:]]
+            if len(stops) == len(letters):
+                data, start = array("I", ids).tobytes(), 0
+                for stem, stop in zip(letters, stops, strict=True):
+                    known[stem] = data[start:stop]
+                    start = stop
+            else:
+                others += {*letters, *(word for word, stem in marked if stem in letters)}
+                marked = [(word, stem) for word, stem in marked if stem not in letters]
+        if marked:
+            others += [mark for mark in {word[-1:] for word, _ in marked} if mark not in known]
+        if others:
+            texts = [word.decode("utf-8", "replace") for word in others]
+            for word, found in zip(others, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False), strict=True):
+                known[word] = array("I", found.ids).tobytes()
+        for word, stem in marked:
+            known[word] = known[stem] + known[word[-1:]]
+        self.held += PER_ENTRY * len(words) + sum(map(len, words))
 
     def encode(self, words: list[bytes]) -> array:
         """Ids of words, one after the other."""
-        if len(self) > CACHED_WORDS:
-            self.clear()
-        new = {w for w in words if w not in self}
+        if self.held > CACHED_BYTES:
+            self.forget()
+        new = set(words).difference(self.known)
         if new:
             self.learn(new)
-        out = array("I")
-        out.frombytes(b"".join(map(self.__getitem__, words)))
+        known, out = self.known, array("I")
+        out.frombytes(b"".join([known[w] for w in words]))
+        for word in [w for w in new if len(w) > LONGEST_CACHED]:
+            del known[word]
         return out
 
 
@@ -85,12 +113,25 @@ _LOADED: dict[str, WordIds] = {}
 
 
 def word_ids(path: str) -> WordIds:
-    """The cache of this worker for a vocabulary file."""
+    """The vocabulary of a file, read once in a worker."""
     if path not in _LOADED:
         _LOADED[path] = WordIds(path)
     return _LOADED[path]
 
 
+@contextmanager
+def known_words(path: str) -> Iterator[WordIds]:
+    """The vocabulary of a file for one task: the words that the task has learned are forgotten at its end.
+
+    Workers are used again by later tasks and stages, which need the memory.
+    """
+    ids = word_ids(path)
+    try:
+        yield ids
+    finally:
+        ids.forget()
+
+
 def document_ids(text: str | None, ids: WordIds, end_id: int) -> array:
     """All ids of a text and ``end_id``, as unsigned 32-bit integers; a null text counts as empty."""
     out = ids.encode(words_of(text))
