@@ -5,7 +5,8 @@ cost one row however often it occurs. The counted values are cut into ordered bu
 points, running totals are taken inside each bucket, and the totals of the lower buckets are added.
 The split points come from the values with the smallest hashes: a balanced sample of distinct
 values that does not depend on how the data is partitioned, so a re-run task sees the same buckets.
-They are fetched when the query is built (one row of at most ``BUCKETS`` values) and enter the plan as constants.
+They are fetched when the query is built (one row of at most ``MOST_BUCKETS`` values) and enter the plan as constants. Where
+only some places are wanted, as for quantiles, only the buckets that hold them are sorted.
 The counted values are checkpointed once, so what they are counted from is computed once.
 """
 
@@ -19,10 +20,23 @@ from pyspark.sql import functions as F
 
 from shoptally.session import checkpointed
 
-BUCKETS = 256  # power of two
+BUCKETS, MOST_BUCKETS = 256, 16_384  # powers of two
+VALUES_PER_BUCKET = 100_000
 SAMPLES_PER_BUCKET = 8
 
 
+def bucket_number(rows: int) -> int:
+    """Buckets for so many counted values, so that tasks grow in number with the data and not in size.
+
+    At most ``MOST_BUCKETS``, whose split points are a constant of some 300 KB in the plan; 1.6 billion different values
+    reach that.
+    """
+    buckets = BUCKETS
+    while buckets * VALUES_PER_BUCKET < rows and buckets < MOST_BUCKETS:
+        buckets *= 2
+    return buckets
+
+
 def counted_values(df: DataFrame, value, by: Sequence[str] = (), weights: dict[str, Column] | None = None) -> DataFrame:
     """One row per (``by``, ``value``) with its count ``n``, or with the given summed weights."""
     sums = [F.sum(w).alias(name) for name, w in weights.items()] if weights else [F.count(F.lit(1)).alias("n")]
@@ -66,14 +80,16 @@ def with_bucket(counts: DataFrame, value: str, points: list, buckets=BUCKETS) ->
 
 
 def ordered_totals(
-    counts: DataFrame, value: str, weights: Sequence[str] = ("n",), by: Sequence[str] = (), buckets=BUCKETS
+    counts: DataFrame, value: str, weights: Sequence[str] = ("n",), by: Sequence[str] = (), buckets: int | None = None, probs: Sequence[float] = ()
 ) -> DataFrame:
     """Add ``<w>_before`` (weight of all lower values of the group) and ``<w>_total`` for each weight.
 
     ``counts`` must hold one row per (``by``, ``value``). A group of any size is spread over the buckets;
-    the only frames without a spread hold at most ``buckets`` rows per group.
+    the only frames without a spread hold at most one row per bucket of a group. With ``probs`` only the buckets come back that
+    hold one of the places ``prob * (total - 1)``, rounded down or up, of the first weight.
     """
     counts = checkpointed(counts)  # read for the split points, the bucket sums and the result
+    buckets = buckets or bucket_number(counts.count())
     points = split_points(counts, value, buckets)
     placed = with_bucket(counts, value, points, buckets)
     group = list(by)
@@ -90,15 +106,25 @@ def ordered_totals(
     carried = sums.select(
         *[F.col(c).alias(f"_g_{c}") for c in group],
         F.col("bucket").alias("_bucket"),
+        F.col(f"_{weights[0]}").alias("_here"),
         *[F.coalesce(F.sum(f"_{w}").over(lower), F.lit(0)).alias(f"_{w}_carried") for w in weights],
         *[F.sum(f"_{w}").over(whole).alias(f"{w}_total") for w in weights],
     )
+    if probs:
+        first = F.col(f"_{weights[0]}_carried")
+        wanted = F.lit(False)
+        for p in probs:
+            place = (F.col(f"{weights[0]}_total") - 1) * F.lit(float(p))
+            for at in (F.floor(place), F.ceil(place)):
+                wanted = wanted | ((at >= first) & (at < first + F.col("_here")))
+        carried = carried.filter(wanted)
     same = F.col("bucket") == F.col("_bucket")
     for c in group:
         same = same & F.col(c).eqNullSafe(F.col(f"_g_{c}"))
     inside = W.partitionBy(*group, "bucket").orderBy(value).rowsBetween(W.unboundedPreceding, -1)
-    local = placed.withColumns({f"_{w}_inside": F.coalesce(F.sum(w).over(inside), F.lit(0)) for w in weights})
-    return local.join(carried, same).select(
+    kept = placed.join(carried, same)
+    local = kept.withColumns({f"_{w}_inside": F.coalesce(F.sum(w).over(inside), F.lit(0)) for w in weights})
+    return local.select(
         *counts.columns,
         *[(F.col(f"_{w}_carried") + F.col(f"_{w}_inside")).alias(f"{w}_before") for w in weights],
         *[f"{w}_total" for w in weights],
@@ -118,7 +144,7 @@ def quantiles(
             F.percentile_approx("value", list(probs), approx).alias("q"), F.count("value").alias("n")
         )
     keys = [*by, "column"]
-    placed = ordered_totals(counted_values(long, "value", keys), "value", by=keys)
+    placed = ordered_totals(counted_values(long, "value", keys), "value", by=keys, probs=probs)
     picks = []
     for i, p in enumerate(probs):
         place = (F.col("n_total") - 1) * F.lit(float(p))

@@ -255,6 +255,6 @@ def tree_forecast_table(spark, sf):
     """Errors of forest and boosted trees on the last four weeks."""
     train, test = _lagged(spark, sf)
     return sr.model_table(
-        forest=sr.forecast_errors(forecast.forest_forecast(train, test, trees=50)),
-        boosted=sr.forecast_errors(forecast.boosted_forecast(train, test, rounds=20)),
+        forest=sr.forecast_errors(forecast.forest_forecast(train, test)),
+        boosted=sr.forecast_errors(forecast.boosted_forecast(train, test)),
     )

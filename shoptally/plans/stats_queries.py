@@ -122,13 +122,13 @@ def histogram_integer(spark, sf):
 @query(
     "kde",
     """, f AS (SELECT count(*) AS n, stddev_samp(qty) * power(count(*), -0.2) AS bw, min(qty) AS low, max(qty) AS high FROM lines),
-g AS (SELECT CAST(i AS INTEGER) AS point, low - 3 * bw + i * (high - low + 6 * bw) / 49 AS x, n, bw FROM f, (SELECT unnest(range(0, 50)) AS i)),
+g AS (SELECT CAST(i AS INTEGER) AS point, low - 3 * bw + i * (high - low + 6 * bw) / 199 AS x, n, bw FROM f, (SELECT unnest(range(0, 200)) AS i)),
 v AS (SELECT qty AS v, count(*) AS k FROM lines GROUP BY qty)
 SELECT point, round(x, 4) AS x, round(sum(k * exp(-0.5 * power((x - v) / bw, 2))) / (any_value(n) * any_value(bw) * sqrt(2 * pi())), 6) AS density
 FROM g, v GROUP BY point, x""",
 )
 def kde(spark, sf):
-    return rounded(stats.kde(views.lines(spark, sf), "qty", points=50), x=4, density=6)
+    return rounded(stats.kde(views.lines(spark, sf), "qty"), x=4, density=6)
 
 
 @query(

@@ -17,7 +17,7 @@ def test_equals_oracle(spark, sf, con, name):
     assert not problem
 
 
-HEAVY = {"dbscan_grid", "segment_model_table", "k_sweep", "gmm_sweep", "permutation_importance"}
+HEAVY = {"dbscan_grid", "segment_model_table", "k_sweep", "gmm_sweep"}
 
 
 @pytest.mark.parametrize("name", sorted(set(queries()) - set(oracle_sql()) - HEAVY))

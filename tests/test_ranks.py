@@ -80,3 +80,17 @@ def test_auc_matches_pairs(spark):
     want = ((pos[:, None] > neg).sum() + 0.5 * (pos[:, None] == neg).sum()) / (len(pos) * len(neg))
     df = spark.createDataFrame(pd.DataFrame({"target": y, "p": s}))
     assert stats.auc_by_rank(df, "target", "p").first()[0] == pytest.approx(want)
+
+
+def test_only_buckets_with_wanted_places_are_ranked(spark):
+    pdf = _hot()
+    counts = ranks.counted_values(spark.createDataFrame(pdf), "v")
+    some, whole = ranks.ordered_totals(counts, "v", buckets=64, probs=(0.5,)).toPandas(), ranks.ordered_totals(counts, "v", buckets=64).toPandas()
+    assert 0 < len(some) < len(whole) / 5
+    both = some.merge(whole, on="v", suffixes=("", "_all"))
+    assert len(both) == len(some) and (both.n_before == both.n_before_all).all() and (both.n_total == len(pdf)).all()
+
+
+def test_buckets_grow_with_the_values():
+    sizes = [ranks.bucket_number(n) for n in (0, 10**6, 10**8, 10**9, 10**13)]
+    assert sizes == [256, 256, 1024, 16_384, 16_384]
