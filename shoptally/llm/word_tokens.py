@@ -40,6 +40,7 @@ class WordIds:
         vocabulary = self.tokenizer.get_vocab()
         self.ends_word = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
         self.ends_word[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
+        self.bytes_of = [n.to_bytes(4, "little") for n in range(len(self.ends_word))]
         self.known: dict[bytes, bytes] = {}
         self.held = 0
 
@@ -58,22 +59,26 @@ class WordIds:
         known, marked, plain, letters, others = self.known, [], {}, {}, []
         for word in words:
             stem = word[:-1] if word[-1:] in MARKS and len(word) > 1 else word
+            if stem.isalpha():  # of bytes: ASCII letters only
+                if stem is not word:
+                    marked.append((word, stem))
+                if stem not in known:
+                    plain[stem] = stem.lower().decode()
+                continue
             text = stem.decode("utf-8", "replace")
-            if not text.isalpha() or not (text.isascii() or normalize("NFC", text).lower().isalpha()):  # lower case may bring a mark of its own
+            if not text.isalpha() or not normalize("NFC", text).lower().isalpha():  # lower case may bring a mark of its own
                 others.append(word)
                 continue
             if stem is not word:
                 marked.append((word, stem))
             if stem not in known:
-                if text.isascii():
-                    plain[stem] = text.lower()
-                elif max(text) < "\u0100":
+                if max(text) < "\u0100":
                     plain[stem] = text.lower().encode().decode("latin-1").translate(AS_CHARACTERS)
                 else:
                     letters[stem] = text
-        merges = self.tokenizer.model.tokenize
+        merges, bytes_of = self.tokenizer.model.tokenize, self.bytes_of
         for stem, text in plain.items():
-            known[stem] = array("I", [t.id for t in merges(text)]).tobytes()
+            known[stem] = b"".join([bytes_of[t.id] for t in merges(text)])
         if letters:
             ids = self.tokenizer.encode_batch_fast([" ".join(letters.values())], add_special_tokens=False)[0].ids
             stops = (4 * np.flatnonzero(self.ends_word[ids]) + 4).tolist()
