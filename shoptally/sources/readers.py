@@ -12,7 +12,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shoptally.functions.text import payment_label
+from shoptally.operators.joins import join_dimension
 from shoptally.schemas import INVENTORY_COLUMNS, LINES_COLUMNS, SALES_COLUMNS
+from shoptally.session import checkpointed
+from shoptally.sources.records import Records
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
@@ -50,8 +53,8 @@ def sniff_delimiter(spark: SparkSession, path: str, candidates: Sequence[str] =
 def _read(spark: SparkSession, path: str, names: dict[str, str], sep: str) -> DataFrame:
     """Rows below the header as text columns; lines above it, repeated headers and ghost columns are left out.
 
-    The header is found by its place in each file, however far down. Quoted fields may hold line breaks, so a file is read
-    by one task. A file of the path without a header keeps all its rows.
+    The header is found by its place in each file, however far down. Quoted fields may hold line breaks, and a file is still
+    read by many tasks (``records``). A file of the path without a header keeps all its rows; blank lines are no rows.
     """
     first, second = list(names)[:2]
     header = _header(spark, path, names, sep)
@@ -61,22 +64,24 @@ def _read(spark: SparkSession, path: str, names: dict[str, str], sep: str) -> Da
     wanted = list(dict.fromkeys(c for c in columns if not c.startswith("Unnamed")))
     schema = ", ".join(f"`c{i}` string" for i in range(len(columns)))
     options = {"sep": sep, "quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": "false", "multiLine": "true"}
-    parsed = spark.read.options(**options).schema(schema).csv(path)
-    # Ids grow along a file, so they tell what lies above its header.
-    rows = parsed.select(
-        F.regexp_replace("c0", "^\ufeff", "").alias("c0"),
-        *[f"c{i}" for i in range(1, len(columns))],
-        F.col("_metadata.file_path").alias("_file"),
-        F.monotonically_increasing_id().alias("_place"),
-    )
+    found = Records(spark, path, sep, _fields("value", sep) == F.array(*[F.lit(h) for h in header]))
     is_header = F.lit(True)
     for i, h in enumerate(header):
-        is_header = is_header & (F.trim(F.coalesce(F.regexp_replace(f"c{i}", '"', ""), F.lit(""))) == h)
-    heads = rows.filter(is_header).groupBy("_file").agg(F.min("_place").alias("_top"))
+        is_header = is_header & (F.trim(F.coalesce(F.regexp_replace(F.col(f"r.c{i}"), '"', ""), F.lit(""))) == h)
+
+    def parsed(rows: DataFrame) -> DataFrame:
+        filled = rows.filter(F.trim("record") != "")
+        return filled.withColumn("r", F.from_csv("record", schema, options)).withColumn("_is_header", is_header)
+
+    ordered = parsed(found.ordered)
+    heads = ordered.filter("_is_header").groupBy("_file").agg(F.min(F.struct("_block", "_row")).alias("_at"))
+    heads = checkpointed(heads.select("_file", F.col("_at._block").alias("_top"), F.col("_at._row").alias("_top_row")))
     if heads.isEmpty():
         raise ValueError(f"the header of {path} lies inside a quoted field")
-    below = rows.join(F.broadcast(heads), "_file", "left").filter((F.col("_place") > F.coalesce("_top", F.lit(-1))) & ~is_header)
-    return below.select(*[F.col(f"c{columns.index(c)}").alias(c) for c in wanted])
+    above = (F.col("_block") < F.col("_top")) | ((F.col("_block") == F.col("_top")) & (F.col("_row") < F.col("_top_row")))
+    below = join_dimension(ordered, heads, "_file").filter(~F.coalesce(above, F.lit(False)))
+    rows = below.select("r", "_is_header").unionByName(parsed(found.plain(heads.select("_file", "_top"))).select("r", "_is_header"))
+    return rows.filter(~F.col("_is_header")).select(*[F.col(f"r.c{columns.index(c)}").alias(c) for c in wanted])
 
 
 def read_sales(spark: SparkSession, path: str, sep=";") -> DataFrame:
