@@ -10,6 +10,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from shoptally.operators.category_rules import PENDING
+from shoptally.operators.joins import join_dimension
 from shoptally.session import checkpointed, spread
 
 
@@ -25,25 +26,28 @@ def baskets(lines: DataFrame, ticket="id", item="analytic_category", exclude: st
 
 
 def basket_density(lines: DataFrame, ticket: str, items: Sequence[str]) -> DataFrame:
-    """Tickets, distinct items and sparsity of the ticket x item matrix, one row per item column."""
-    tables = []
-    for item in items:
-        pairs = lines.filter(F.col(item).isNotNull()).select(ticket, F.col(item).cast("string").alias("item")).distinct()
-        per_item = pairs.groupBy("item").agg(F.count(F.lit(1)).alias("n"))
-        sums = per_item.agg(F.count(F.lit(1)).alias("n_items"), F.sum("n").alias("n_cells"))
-        size = lines.filter(F.col(item).isNotNull()).agg(F.countDistinct(ticket).alias("n_baskets"))
-        tables.append(
-            sums.withColumn("n_baskets", size.scalar()).select(
-                F.lit(item).alias("level"),
-                "n_baskets",
-                "n_items",
-                (1 - F.col("n_cells") / (F.col("n_baskets") * F.col("n_items"))).alias("sparsity"),
-            )
+    """Tickets, distinct items and sparsity of the ticket x item matrix, one row per item column.
+
+    One reading of the lines gives the distinct cells of all levels; tickets and items are both counted from these cells.
+    """
+    levels = F.array(*[F.struct(F.lit(i).alias("level"), F.col(i).cast("string").alias("item")) for i in items])
+    cells = lines.select(F.col(ticket).alias("ticket"), F.explode(levels).alias("l")).select("l.level", "ticket", "l.item")
+    cells = cells.filter(F.col("item").isNotNull()).distinct()
+    by_item = cells.groupBy("level", "item").agg(F.count(F.lit(1)).alias("n"))
+    item_sums = by_item.groupBy("level").agg(F.count(F.lit(1)).alias("n_items"), F.sum("n").alias("n_cells"))
+    by_ticket = cells.groupBy("level", "ticket").agg(F.count(F.lit(1)).alias("n"))
+    ticket_sums = by_ticket.groupBy("level").agg(F.count("ticket").alias("n_baskets"))
+    frame = lines.sparkSession.range(1).select(F.explode(F.array(*[F.lit(i) for i in items])).alias("level"))
+    return (
+        frame.join(ticket_sums, "level", "left")
+        .join(item_sums, "level", "left")
+        .select(
+            "level",
+            F.coalesce("n_baskets", F.lit(0)).alias("n_baskets"),
+            F.coalesce("n_items", F.lit(0)).alias("n_items"),
+            (1 - F.col("n_cells") / (F.col("n_baskets") * F.col("n_items"))).alias("sparsity"),
         )
-    stacked = tables[0]
-    for t in tables[1:]:
-        stacked = stacked.unionByName(t)
-    return stacked
+    )
 
 
 def drop_rare_items(df: DataFrame, share=0.01) -> DataFrame:
@@ -226,8 +230,10 @@ def normalize_rule_metrics(rules: DataFrame, n=5) -> DataFrame:
 def suggest_addons(df: DataFrame, rules: DataFrame, n=1) -> DataFrame:
     """Best rules per basket whose antecedent is in the basket and whose consequent is not.
 
-    Equal baskets are solved once. Basket items meet only the rules that start with them.
+    Equal baskets are solved once. Basket items meet only the rules that start with them. The solved baskets go back to the
+    tickets as a dimension: broadcast when small, else a basket that many tickets share is kept out of the shuffle.
     """
+    tickets = df.select("ticket", F.to_json("items").alias("_basket"))
     sets = df.select("items").distinct()
     keyed = rules.select(
         F.get("antecedent", F.lit(0)).alias("_first"),
@@ -242,4 +248,7 @@ def suggest_addons(df: DataFrame, rules: DataFrame, n=1) -> DataFrame:
     fits = (F.size(F.array_except("antecedent", "items")) == 0) & ~F.arrays_overlap("consequent", "items")
     order = W.partitionBy("items").orderBy(F.desc(F.round("lift", 9)), "because", "suggestion")
     best = met.filter(fits).withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= n)
-    return df.join(best, "items").select("ticket", "rank", "because", "suggestion", "confidence", "lift")
+    addon = F.struct("rank", "because", "suggestion", "confidence", "lift")
+    solved = best.groupBy(F.to_json("items").alias("_basket")).agg(F.collect_list(addon).alias("_addons"))  # at most n each
+    found = join_dimension(tickets, solved, "_basket", "inner")
+    return found.select("ticket", F.explode("_addons").alias("a")).select("ticket", "a.*")

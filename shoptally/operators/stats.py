@@ -230,16 +230,32 @@ def pearson_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 
 def spearman_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Spearman correlations (average ranks for ties) in long form, over rows without nulls in ``cols``."""
-    ranked = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).dropna()
-    ranks = checkpointed(average_ranks(ranked, cols))
-    for c in cols:
-        own = ranks.filter(F.col("column") == c).select(
-            F.col("value").alias(c), F.col("average_rank").alias(f"{c}_rank")
-        )
-        ranked = join_dimension(ranked, own, c, "inner")
-    ranked = ranked.select(*[F.col(f"{c}_rank").alias(c) for c in cols])
-    return pearson_matrix(ranked, cols)
+    """Spearman correlations (average ranks for ties) in long form, over rows without nulls in ``cols``.
+
+    Equal rows are counted first. Their values go into long form, meet their ranks in one join for all columns, and come back
+    to one row per distinct row. Mean ranks are known, so weighted sums of centred ranks are all that is left.
+    """
+    numbers = df.select(*[(F.col(c).cast("double") + 0.0).alias(c) for c in cols]).dropna()
+    ranks = average_ranks(numbers, cols).select(_value_key("column", "value"), "average_rank")
+    places = F.array(*[F.struct(F.lit(i).alias("i"), _value_key(F.lit(c), c)) for i, c in enumerate(cols)])
+    distinct = numbers.groupBy(*cols).agg(F.count(F.lit(1)).alias("_n"))
+    long = distinct.select(*cols, "_n", F.explode(places).alias("p")).select(*cols, "_n", "p.i", "p._key")
+    ranked = join_dimension(long, checkpointed(ranks), "_key", "inner")
+    wide = ranked.groupBy(*cols, "_n").agg(*[F.max(F.when(F.col("i") == i, F.col("average_rank"))).alias(f"_r{i}") for i in range(len(cols))])
+    pairs = list(combinations_with_replacement(range(len(cols)), 2))
+    middle = (numbers.agg(F.count(F.lit(1))).scalar() + 1) / F.lit(2.0)
+    centred = wide.select("_n", *[(F.col(f"_r{i}") - middle).alias(f"_r{i}") for i in range(len(cols))])
+    sums = centred.agg(*[F.sum(F.col("_n") * F.col(f"_r{a}") * F.col(f"_r{b}")).alias(f"_s{a}_{b}") for a, b in pairs])
+    corr = [
+        F.try_divide(F.col(f"_s{a}_{b}"), F.sqrt(F.col(f"_s{a}_{a}")) * F.sqrt(F.col(f"_s{b}_{b}"))).alias(f"_{i}")
+        for i, (a, b) in enumerate(pairs)
+    ]
+    return _pairs_to_long(sums.select(*corr), [(cols[a], cols[b]) for a, b in pairs])
+
+
+def _value_key(column, value):
+    """Text that names a value of a column; the decimal form of a double is exact."""
+    return F.concat_ws(":", F.col(value).cast("string"), column).alias("_key")
 
 
 def cluster_profile(df: DataFrame, label: str, cols: Sequence[str]) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shoptally.functions.numbers import dominant_role, encode_target, ratio_or_null, safe_ratio, spend_by_role
@@ -29,6 +29,11 @@ PAYMENT_FEATURES = (
 )
 
 
+def n_distinct(col) -> Column:
+    """Number of distinct values that are not null, as a set inside the aggregate; for columns with a bounded catalogue."""
+    return F.size(F.collect_set(col)).cast("long")
+
+
 def attach_header(features: DataFrame, sales: DataFrame, how="inner") -> DataFrame:
     """Ticket aggregates with the columns of their sales header; one row per ticket on both sides."""
     return features.join(sales, "id", how)
@@ -50,11 +55,15 @@ def dedupe_first(df: DataFrame, key: str, order) -> DataFrame:
 
 
 def ticket_features(sales: DataFrame, lines: DataFrame) -> DataFrame:
-    """Eight features per ticket for segmentation, with the payment label. Zero units give null ratios."""
+    """Eight features per ticket for segmentation, with the payment label. Zero units give null ratios.
+
+    Lines are read and shuffled once: distinct values are sets of the same aggregate, merged before the shuffle, so no line is
+    copied per distinct count. A set holds at most the catalogue.
+    """
     per_ticket = lines.groupBy("id").agg(
         F.sum("qty").alias("units"),
-        F.countDistinct("product").alias("n_products"),
-        F.countDistinct("dept").alias("n_depts"),
+        n_distinct("product").alias("n_products"),
+        n_distinct("dept").alias("n_depts"),
         F.max("subtotal").alias("max_subtotal"),
         F.coalesce(F.stddev_samp("subtotal"), F.lit(0.0)).alias("std_subtotal"),
     )
@@ -105,14 +114,16 @@ def ticket_first_hour(lines: DataFrame, order="line_no", at="at") -> DataFrame:
 
 
 def payment_features(sales: DataFrame, lines: DataFrame, share_dept="FOTOCOPIADORA", labels=None) -> DataFrame:
-    """Features of the payment classifier. Lines are counted per (ticket, department) before the ticket level."""
-    per_dept = lines.groupBy("id", "dept").agg(F.count(F.lit(1)).alias("n"), F.sum("qty").alias("units"))
+    """Features of the payment classifier. Lines are counted per (ticket, department) before the ticket level, in one pass."""
+    per_dept = lines.groupBy("id", "dept").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("qty").alias("units"), F.collect_set("product").alias("products")
+    )
     per_ticket = per_dept.groupBy("id").agg(
         F.sum("units").alias("units"),
         F.min(F.when(F.col("dept").isNotNull(), F.struct(-F.col("n"), F.col("dept")))).getField("dept").alias("main_dept"),
         (F.sum(F.when(F.col("dept") == share_dept, F.col("n")).otherwise(0)) / F.sum("n")).alias("dept_share"),
+        F.size(F.array_distinct(F.flatten(F.collect_list("products")))).cast("long").alias("n_products"),
     )
-    products = lines.groupBy("id").agg(F.countDistinct("product").alias("n_products"))
     header = sales.select(
         "id",
         "total",
@@ -120,7 +131,7 @@ def payment_features(sales: DataFrame, lines: DataFrame, share_dept="FOTOCOPIADO
         F.weekday("day").isin(5, 6).cast("int").alias("is_weekend"),
         encode_target("pay", labels).alias("target"),
     )
-    return header.join(per_ticket, "id").join(products, "id").select(
+    return header.join(per_ticket, "id").select(
         "id", "total", "units", "n_products", "main_dept", "dept_share", "weekday", "is_weekend", "target"
     )
 

@@ -30,12 +30,14 @@ def build_session(app="shoptally", master=None, shuffle_partitions=None, **conf)
 def shared_dir(spark: SparkSession) -> str:
     """Folder that every executor can reach, taken from ``spark.checkpoint.dir``.
 
-    Where that is unset, as in tests, the warehouse of the session takes its place: it is shared as well, and never a
-    temporary folder of one machine.
+    Where that is unset, as in tests, the warehouse of the session takes its place. On a cluster a warehouse on the driver's own
+    disk is refused, as executors could not read it.
     """
     folder = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
         folder = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
+        if folder.startswith(("/", "file:")) and not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors reach")
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder
 

@@ -4,6 +4,7 @@ from shoptally.streaming.ledger_stream import (
     dedupe_stream,
     latest_per_key,
     run_available,
+    run_closed,
     score_batch,
     score_stream,
     table_stream,
@@ -14,6 +15,7 @@ __all__ = [
     "dedupe_stream",
     "latest_per_key",
     "run_available",
+    "run_closed",
     "score_batch",
     "score_stream",
     "table_stream",
