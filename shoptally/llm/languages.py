@@ -5,8 +5,9 @@ all its segmentations into pieces, computed by a forward pass; expectation-maxim
 training texts fits the piece probabilities with expected counts from a forward-backward pass. A text is scored by the sum
 of its words' log-probabilities in each language.
 
-Words are runs of letters, lower-cased, with a word-start mark; longer ones are cut every ``LONGEST`` letters. A letter that
-is no piece itself may be covered by a stand-in piece. Passes run over many words of one length at once.
+Words are whole runs of letters, lower-cased, with a word-start mark, and every piece of the vocabulary that letters can
+make up takes part, however long. A letter that is no piece itself may be covered by a stand-in piece. Passes run over many
+words of one length at once; words of more than ``SHORT`` letters, whose probability could vanish, in logarithms.
 """
 
 from __future__ import annotations
@@ -23,11 +24,12 @@ from pyspark.sql import functions as F
 from shoptally.llm.common import part_count, table
 from shoptally.session import checkpointed
 
-LONGEST = 24
-LONGEST_PIECE = 12
+SHORT = 20
 ROUNDS = 2
 SMOOTHING = 0.1
 CACHED = 300_000
+CACHED_LETTERS = 16 * CACHED
+GROUP_LETTERS = 480_000  # letters of the words that one pass takes together
 LETTER_BITS = 21  # of a code point
 MARK = "▁"
 UNKNOWN = "und"
@@ -36,11 +38,8 @@ _LETTERS = re.compile(r"[^\W\d_]+")
 
 
 def words_in(text: str) -> list[str]:
-    """Letter runs of a text in lower case, none longer than ``LONGEST``."""
-    found = _LETTERS.findall(text.lower())
-    if max(map(len, found), default=0) <= LONGEST:
-        return found
-    return [w[i : i + LONGEST] for w in found for i in range(0, len(w), LONGEST)]
+    """Letter runs of a text in lower case."""
+    return _LETTERS.findall(text.lower())
 
 
 class PrefixTree:
@@ -59,6 +58,7 @@ class PrefixTree:
         self.keys = np.array([*keys, np.iinfo(np.int64).max], dtype=np.int64)  # a search never runs off the end
         self.behind = np.array([edges[k] for k in keys], dtype=np.int64)
         self.ends = np.array(ends, dtype=np.int32)
+        self.longest = max(map(len, numbers))
 
 
 class Pieces:
@@ -70,7 +70,8 @@ class Pieces:
         model = sentencepiece.SentencePieceProcessor(model_file=path)
         usable = (i for i in range(model.get_piece_size()) if not (model.is_control(i) or model.is_unknown(i) or model.is_byte(i)))
         texts = dict.fromkeys(model.id_to_piece(i).lower() for i in usable)
-        self.numbers = {t: n for n, t in enumerate((t for t in texts if 0 < len(t) <= LONGEST_PIECE), 1)}
+        spelled = (t for t in texts if t == MARK or _LETTERS.fullmatch(t.removeprefix(MARK)))
+        self.numbers = {t: n for n, t in enumerate(spelled, 1)}
         self.count = len(self.numbers) + 1
 
     def spans(self, words: list[str]) -> np.ndarray:
@@ -83,7 +84,7 @@ class Pieces:
         tree = self.tree
         n = len(words[0])
         letters = np.array(words, dtype=f"U{n}").view(np.uint32).reshape(len(words), n).astype(np.int64)
-        out = np.full((len(words), min(n, LONGEST_PIECE), n), -1, dtype=np.int32)
+        out = np.full((len(words), min(n, tree.longest), n), -1, dtype=np.int32)
         word, start = np.divmod(np.arange(letters.size), n)
         node = np.zeros(letters.size, dtype=np.int64)
         for size in range(1, out.shape[1] + 1):
@@ -119,23 +120,51 @@ def forward(spans: np.ndarray, probability: np.ndarray) -> np.ndarray:
     return at
 
 
-def expected_counts(spans: np.ndarray, weights: np.ndarray, probability: np.ndarray, out: np.ndarray) -> None:
+def log_forward(spans: np.ndarray, logs: np.ndarray, backward=False) -> np.ndarray:
+    """``forward`` in logarithms, for words of any length; or the probabilities of what follows each place."""
+    n = spans.shape[2]
+    at = np.empty((n + 1, len(spans), logs.shape[1]))
+    at[n if backward else 0] = 0.0
+    for step in range(1, n + 1):
+        sizes = np.arange(1, min(step, spans.shape[1]) + 1)
+        here = n - step if backward else step
+        starts = np.full_like(sizes, here) if backward else here - sizes
+        terms = logs[spans[:, sizes - 1, starts].T] + at[here + sizes if backward else starts]
+        most = terms.max(axis=0)
+        at[here] = most + np.log(np.exp(terms - most).sum(axis=0))
+    return at
+
+
+def _logs(probability: np.ndarray) -> np.ndarray:
+    with np.errstate(divide="ignore"):
+        return np.log(probability)
+
+
+def expected_counts(spans: np.ndarray, weights: np.ndarray, probability: np.ndarray, out: np.ndarray, short=SHORT) -> None:
     """Add to ``out (pieces, languages)`` how often each piece is used; ``weights`` are the words' counts in each language."""
     n = spans.shape[2]
-    ahead = forward(spans, probability)
-    back = np.zeros_like(ahead)
-    back[n] = 1.0
-    for start in range(n - 1, -1, -1):
-        for size in range(1, min(n - start, spans.shape[1]) + 1):
-            back[start] += probability[spans[:, size - 1, start]] * back[start + size]
-    scale = weights / np.maximum(ahead[n], 1e-300)
+    if n > short + 1:
+        logs = _logs(probability)
+        ahead, back = log_forward(spans, logs), log_forward(spans, logs, backward=True)
+    else:
+        ahead = forward(spans, probability)
+        back = np.zeros_like(ahead)
+        back[n] = 1.0
+        for start in range(n - 1, -1, -1):
+            for size in range(1, min(n - start, spans.shape[1]) + 1):
+                back[start] += probability[spans[:, size - 1, start]] * back[start + size]
+        scale = weights / np.maximum(ahead[n], 1e-300)
     for start in range(n):
         for size in range(1, min(n - start, spans.shape[1]) + 1):
             piece = spans[:, size - 1, start]
             used = np.flatnonzero(piece >= 0)
             if len(used):
                 p = piece[used]
-                np.add.at(out, p, (ahead[start, used] * probability[p] * back[start + size, used]) * scale[used])
+                if n > short + 1:
+                    share = np.exp(ahead[start, used] + logs[p] + back[start + size, used] - ahead[n, used]) * weights[used]
+                else:
+                    share = (ahead[start, used] * probability[p] * back[start + size, used]) * scale[used]
+                np.add.at(out, p, share)
 
 
 def _by_length(words) -> dict[int, list[int]]:
@@ -145,14 +174,24 @@ def _by_length(words) -> dict[int, list[int]]:
     return groups
 
 
-def log_probabilities(words: list[str], probability: np.ndarray, known: Pieces, step=20_000) -> np.ndarray:
+def _parts(group: list[int], length: int) -> Iterator[list[int]]:
+    """A group of words of one length in parts of at most ``GROUP_LETTERS`` letters, or one word."""
+    step = max(1, GROUP_LETTERS // length)
+    return (group[at : at + step] for at in range(0, len(group), step))
+
+
+def log_probabilities(words: list[str], probability: np.ndarray, known: Pieces) -> np.ndarray:
     """(words, languages) log-probability of unmarked words, all segmentations summed."""
     out = np.empty((len(words), probability.shape[1]))
     marked = [MARK + w for w in words]
-    for group in _by_length(marked).values():
-        for at in range(0, len(group), step):
-            part = group[at : at + step]
-            out[part] = np.log(np.maximum(forward(known.spans([marked[i] for i in part]), probability)[-1], 1e-300))
+    logs = _logs(probability)
+    for length, group in _by_length(marked).items():
+        for part in _parts(group, length):
+            spans = known.spans([marked[i] for i in part])
+            if length > SHORT + 1:
+                out[part] = log_forward(spans, logs)[-1]
+            else:
+                out[part] = np.log(np.maximum(forward(spans, probability)[-1], 1e-300))
     return out
 
 
@@ -210,9 +249,8 @@ def train(labelled: DataFrame, path: str, rounds=ROUNDS) -> Model:
                 for lang in wide.columns:
                     weights[:, number[lang]] = wide[lang]
                 marked = [MARK + w for w in wide.index]
-                for group in _by_length(marked).values():
-                    for at in range(0, len(group), 10_000):
-                        part = group[at : at + 10_000]
+                for length, group in _by_length(marked).items():
+                    for part in _parts(group, 2 * length):
                         expected_counts(vocabulary.spans([marked[i] for i in part]), weights[part], padded, total)
             if total is not None:
                 piece, lang = np.nonzero(total)
@@ -226,11 +264,12 @@ def train(labelled: DataFrame, path: str, rounds=ROUNDS) -> Model:
 
 
 class Scorer:
-    """Scores texts; the words of earlier texts are remembered, up to ``CACHED``."""
+    """Scores texts; the words of earlier texts are remembered, up to ``CACHED`` words and ``CACHED_LETTERS`` letters."""
 
     def __init__(self, model: Model, path: str):
         self.model, self.known, self.padded = model, pieces(path), model.padded()
         self.rows: dict[str, int] = {}
+        self.letters = 0
         self.table = np.zeros((0, len(model.langs)))
 
     def batch(self, texts) -> list[tuple[str, float]]:
@@ -241,10 +280,11 @@ class Scorer:
 
     def _some(self, texts):
         split = [words_in(t) if t and any(map(str.isalpha, t)) else None for t in texts]
-        if len(self.rows) > CACHED:
-            self.rows, self.table = {}, self.table[:0]
+        if len(self.rows) > CACHED or self.letters > CACHED_LETTERS:
+            self.rows, self.table, self.letters = {}, self.table[:0], 0
         new = list(dict.fromkeys(w for words in split if words for w in words if w not in self.rows))
         if new:
+            self.letters += sum(map(len, new))
             self.rows.update(zip(new, range(len(self.table), len(self.table) + len(new)), strict=True))
             self.table = np.vstack([self.table, log_probabilities(new, self.padded, self.known)])
         return [self._one(words) for words in split]
