@@ -234,14 +234,45 @@ def revenue_summary(spark, sf):
     return rounded(table, total=2, mean_week=3, last_week=2, next_week=3)
 
 
-@query("trend_forecast")
+CHANGE = "1998-01-04"
+TERMS = 5  # intercept, weeks since the first, weeks after the change point, two regressors
+
+
+def _least_squares_sql():
+    """Normal equations of the trend model, one per payment method, solved by Gauss-Jordan elimination."""
+    sql = f""", last AS (SELECT pay, min(ds) AS first, max(ds) AS last FROM weekly GROUP BY pay),
+grid AS (SELECT pay, ds, y, false AS is_future, row_number() OVER (PARTITION BY pay ORDER BY ds DESC) > 4 AS fit FROM weekly
+  UNION ALL SELECT pay, CAST(last + to_days(CAST(7 * step AS INTEGER)) AS DATE), NULL, true, false FROM last, range(1, 5) AS r(step)),
+x AS (SELECT g.*, ln(1 + y) AS target, [1.0::DOUBLE, date_diff('day', first, g.ds) / 7.0 - 150,
+    greatest(date_diff('day', DATE '{CHANGE}', g.ds) / 7.0, 0),
+    (g.ds IN (SELECT ds FROM hol))::INT::DOUBLE, (g.ds IN (SELECT ds FROM school))::INT::DOUBLE] AS v
+  FROM grid g JOIN last USING (pay)),
+e0 AS (SELECT pay, i, j, sum(v[i] * CASE WHEN j > {TERMS} THEN target ELSE v[j] END) AS a
+  FROM x, range(1, {TERMS + 1}) AS r(i), range(1, {TERMS + 2}) AS c(j) WHERE fit GROUP BY ALL)"""
+    for k in range(1, TERMS + 1):
+        sql += f""",
+e{k} AS (SELECT m.pay, m.i, m.j, CASE WHEN m.i = {k} THEN m.a / p.a ELSE m.a - f.a / p.a * h.a END AS a FROM e{k - 1} m
+  JOIN e{k - 1} p ON p.pay = m.pay AND p.i = {k} AND p.j = {k} JOIN e{k - 1} f ON f.pay = m.pay AND f.i = m.i AND f.j = {k}
+  JOIN e{k - 1} h ON h.pay = m.pay AND h.i = {k} AND h.j = m.j)"""
+    return (
+        sql
+        + f""",
+beta AS (SELECT pay, list(a ORDER BY i) AS b FROM e{TERMS} WHERE j = {TERMS + 1} GROUP BY pay),
+fitted AS (SELECT x.*, list_dot_product(v, b) AS f FROM x JOIN beta USING (pay)),
+spread AS (SELECT pay, sqrt(sum(power(target - f, 2)) / (count(*) - {TERMS})) AS s FROM fitted WHERE fit GROUP BY pay)
+SELECT pay, ds, round(y, 2) AS y, round(greatest(exp(f) - 1, 0)) AS yhat, round(greatest(exp(f - {forecast.Z80} * s) - 1, 0)) AS yhat_lower,
+  round(greatest(exp(f + {forecast.Z80} * s) - 1, 0)) AS yhat_upper, is_future FROM fitted JOIN spread USING (pay)"""
+    )
+
+
+@query("trend_forecast", DAILY + CALENDAR + _least_squares_sql())
 def trend_forecast(spark, sf):
-    """With calendar regressors known ahead."""
+    """With calendar regressors known ahead, in whole units of revenue."""
     weeks = flagged(spark, sf)
     ahead = sr.future_weeks(weeks, 4, S).drop("step")
     ahead = sr.calendar_regressors(ahead, sr.yearly_days(weeks, HOLIDAYS), sr.school_days(weeks))
-    table = forecast.trend_forecast(weeks, 4, ["is_nat", "is_school"], ahead, ["1998-01-04"], 4, S)
-    return rounded(table, y=2, yhat=2, yhat_lower=2, yhat_upper=2)
+    table = forecast.trend_forecast(weeks, 4, ["is_nat", "is_school"], ahead, [CHANGE], 4, S)
+    return rounded(table, y=2, yhat=0, yhat_lower=0, yhat_upper=0)
 
 
 def _lagged(spark, sf):
