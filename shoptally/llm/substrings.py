@@ -1,9 +1,10 @@
 """Removal of passages that a document with a smaller id holds as well, by level-wise doubling of windows.
 
-Window hashes are built by doubling: two hashes of one length make the hash of a window up to twice as long. Windows of
-``length / 2`` words are candidates first. Of the ones inside every window of ``length`` words the one with the smallest
-hash stands for it (its seed), so equal windows have equal seeds and few positions of a text need to be compared. Only
-seeds found in several documents are extended to the full length; windows without such a seed cannot repeat.
+Window hashes are built by doubling: two hashes of one length make the hash of a window up to twice as long. First level:
+windows of ``length / 2`` words. Of the ones inside every window of ``length`` words the one with the smallest hash stands
+for it (its seed), so equal windows have equal seeds and few positions of a text need to be compared. Second level: only
+windows around a seed found in several documents are extended to ``length`` words; the others cannot repeat. Windows that
+repeat at ``length`` are removed as they are, so longer levels would change no decision and are left out.
 
 Neighbouring windows with the same seed make a stretch of up to ``1.5 * length`` words. A stretch that a smaller document
 holds as a whole decides all its windows at once; only the first document of a stretch, and stretches at the edges of a
@@ -61,51 +62,75 @@ def _seeds(halves: np.ndarray, width: int) -> np.ndarray:
     return np.concatenate(out)
 
 
-def _stretches(text: str | None, length: int):
-    """Arrays (seed hash, stretch hash, first window, number of windows) of one text, or None if it is too short."""
+def _seeded(text: str | None, length: int):
+    """Arrays (seed hash, first window, number of windows) of one text, or None if it is too short."""
     words = words_of(text)
     if len(words) < length:
         return None
     half = (length + 1) // 2
     halves = window_hashes(words, half)
-    whole = extended(halves, half, length)
     seed_at = _seeds(halves, length - half + 1)
     first = np.flatnonzero(np.r_[True, seed_at[1:] != seed_at[:-1]])
-    n = np.diff(np.r_[first, len(seed_at)])
-    stretch = _mix(_mix(whole[first], whole[first + n - 1]), n.astype(np.uint64))
-    return halves[seed_at[first]], stretch, first, n
+    return halves[seed_at[first]], first, np.diff(np.r_[first, len(seed_at)])
 
 
 def _rows(docs: DataFrame) -> DataFrame:
     """``(doc, tag, text)``: a row's id, and a tag that tells apart rows that share an id."""
     return docs.select(
         F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc"),
-        F.hash("text").alias("tag"),
+        F.xxhash64("text").alias("tag"),
         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
     )
 
 
-def stretches(rows: DataFrame, length=LENGTH) -> DataFrame:
-    """``(seed, stretch, doc, tag, first, n)`` of every text of ``rows (doc, tag, text)``."""
+def seeds(rows: DataFrame, length=LENGTH) -> DataFrame:
+    """First level: ``(seed, doc, tag, first, n)`` of every text of ``rows (doc, tag, text)``."""
 
     def run(batches):
         for batch in batches:
             for doc, tag, text in zip(batch.doc, batch.tag, batch.text, strict=True):
-                found = _stretches(text, length)
+                found = _seeded(text, length)
                 if found:
-                    seed, stretch, first, n = found
-                    yield pd.DataFrame(
-                        {
-                            "seed": seed.view(np.int64),
-                            "stretch": stretch.view(np.int64),
-                            "doc": doc,
-                            "tag": np.int32(tag),
-                            "first": first.astype(np.int32),
-                            "n": n.astype(np.int32),
-                        }
-                    )
+                    seed, first, n = found
+                    yield pd.DataFrame({"seed": seed.view(np.int64), "doc": doc, "tag": tag, "first": first.astype(np.int32), "n": n.astype(np.int32)})
 
-    return rows.mapInPandas(_gathered(run), "seed long, stretch long, doc long, tag int, first int, n int")
+    return rows.mapInPandas(_gathered(run), "seed long, doc long, tag long, first int, n int")
+
+
+def parts_of(runs: DataFrame) -> DataFrame:
+    """``(doc, tag, parts)``: the different runs ``(first, n)`` of each text.
+
+    Rows that repeat an id and a text share one entry. A plain table, so that a join on a hot id can be split.
+    """
+    return checkpointed(runs.groupBy("doc", "tag").agg(F.collect_set(F.struct("first", "n")).alias("parts")))
+
+
+def _extended_at(rows: DataFrame, chosen: DataFrame, length: int, made, schema: str) -> DataFrame:
+    """``made(extend, first, n)`` as rows with ``doc`` and ``tag``, for each text with runs ``chosen (doc, tag, first, n)``.
+
+    ``extend(at)`` are the hashes of the windows of ``length`` words at the positions ``at``, from the two halves of each.
+    """
+    half = (length + 1) // 2
+
+    def run(batches):
+        for batch in batches:
+            for doc, tag, text, first, n in zip(batch.doc, batch.tag, batch.text, batch["first"], batch.n, strict=True):
+                halves = window_hashes(words_of(text), half)
+                frame = pd.DataFrame(made(lambda at, h=halves: _mix(h[at], h[at + length - half]), first, n))
+                yield frame.assign(doc=doc, tag=tag)
+
+    listed = rows.join(parts_of(chosen), ["doc", "tag"]).select("doc", "tag", "text", "parts.first", "parts.n")
+    return listed.mapInPandas(_gathered(run), f"{schema}, doc long, tag long")
+
+
+def stretches(rows: DataFrame, chosen: DataFrame, length=LENGTH) -> DataFrame:
+    """Second level: ``(stretch, first, n, doc, tag)``, the hash of each run ``chosen`` from its first and last window."""
+
+    def made(extend, first, n):
+        ends = _mix(_mix(extend(first), extend(first + n - 1)), n.astype(np.uint64))
+        return {"stretch": ends.view(np.int64), "first": first, "n": n}
+
+    return _extended_at(rows, chosen, length, made, "stretch long, first int, n int")
 
 
 def _gathered(run, size=200_000):
@@ -132,25 +157,21 @@ def _shared(df: DataFrame, key: str) -> DataFrame:
 
 
 def windows(rows: DataFrame, chosen: DataFrame, length=LENGTH) -> DataFrame:
-    """``(window, doc, tag, first)``: the hash of each window of the stretches ``chosen (doc, tag, first, n)``."""
-    lists = chosen.groupBy("doc", "tag").agg(F.collect_list(F.struct("first", "n")).alias("parts"))
+    """Second level: ``(window, first, doc, tag)``, the hash of each single window of the runs ``chosen``."""
 
-    def run(batches):
-        for batch in batches:
-            for doc, tag, text, first, n in zip(batch.doc, batch.tag, batch.text, batch["first"], batch.n, strict=True):
-                hashes = window_hashes(words_of(text), length)
-                at = np.repeat(first, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-                yield pd.DataFrame({"window": hashes[at].view(np.int64), "doc": doc, "tag": np.int32(tag), "first": at.astype(np.int32)})
+    def made(extend, first, n):
+        at = np.repeat(first, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        return {"window": extend(at).view(np.int64), "first": at.astype(np.int32)}
 
-    listed = rows.join(lists, ["doc", "tag"]).select("doc", "tag", "text", "parts.first", "parts.n")
-    return listed.mapInPandas(_gathered(run), "window long, doc long, tag int, first int")
+    return _extended_at(rows, chosen, length, made, "window long, first int")
 
 
 def repeats(rows: DataFrame, length=LENGTH) -> DataFrame:
     """``(doc, tag, first, n)``: runs of windows that also start in a document with a smaller id."""
-    half = checkpointed(stretches(rows, length))
-    candidates = checkpointed(half.join(_shared(half, "seed").select("seed"), "seed", "left_semi").drop("seed"))
-    decided = candidates.join(_shared(candidates, "stretch"), "stretch", "left")
+    half = checkpointed(seeds(rows, length))
+    candidates = half.join(_shared(half, "seed").select("seed"), "seed", "left_semi").drop("seed")
+    extended_runs = checkpointed(stretches(rows, candidates, length))
+    decided = extended_runs.join(_shared(extended_runs, "stretch"), "stretch", "left")
     whole = F.col("doc") > F.col("least")
     single = checkpointed(windows(rows, decided.filter(~F.coalesce(whole, F.lit(False))), length))
     one_by_one = single.join(_shared(single, "window"), "window").filter("doc > least")
@@ -175,8 +196,8 @@ def cut(text: str | None, first, n, length=LENGTH) -> tuple[int, int, bytes]:
 
 def _with_parts(docs: DataFrame, length: int) -> DataFrame:
     """``(row, parts)``: every row of ``docs`` as a struct, so that no column can clash, and its repeated runs (null: none)."""
-    found = repeats(_rows(docs), length).groupBy("doc", "tag").agg(F.collect_list(F.struct("first", "n")).alias("parts"))
-    doc, tag = F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc"), F.hash("text").alias("tag")
+    found = parts_of(repeats(_rows(docs), length))
+    doc, tag = F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc"), F.xxhash64("text").alias("tag")
     return docs.select(F.struct(*docs.columns).alias("row"), doc, tag).join(found, ["doc", "tag"], "left").select("row", "parts")
 
 
@@ -203,7 +224,10 @@ def removal_report(docs: DataFrame, length=LENGTH) -> DataFrame:
 
 
 def without_repeats(docs: DataFrame, length=LENGTH) -> DataFrame:
-    """``docs`` with the repeated words cut from ``text``; texts that lose nothing stay as they are. Columns as in ``docs``."""
+    """``docs`` with the repeated words cut from ``text``; texts that lose nothing stay as they are. Columns as in ``docs``.
+
+    Nulls, repeated rows, rows without an id and empty tables as in :func:`removal_report`; a null text stays null.
+    """
 
     @F.pandas_udf("string")
     def kept(text: pd.Series, first: pd.Series, n: pd.Series) -> pd.Series:

@@ -121,6 +121,27 @@ def test_substrings(docs, texts, none):
     assert substrings.removal_report(none).count() == 0
 
 
+def test_substrings_of_repeated_rows(spark):
+    """Rows without an id, and rows that repeat an id and a text, each many times; edges of passages; a very long text."""
+    shared, long = passage(70, 11), passage(20_000, 12)
+    rows = [(1, long), (2, passage(9, 13) + " " + shared), (3, shared + " " + " ".join(long.split()[500:7000]))]
+    rows += [(4, shared)] * 40 + [(None, shared + " end")] * 40 + [(None, passage(80, 14))] * 3
+    found = substrings.removal_report(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert sorted(map(tuple, found.collect()), key=repr) == plain_removal(rows)
+    runs = spark.createDataFrame([(4, 9, 0, 5)] * 30 + [(4, 9, 5, 2)], "doc long, tag long, first int, n int")
+    assert sorted(map(tuple, substrings.parts_of(runs).first().parts)) == [(0, 5), (5, 2)]
+
+
+def test_only_repeated_halves_are_extended(spark):
+    rows = spark.createDataFrame([(1, 1, passage(300, 15)), (2, 2, passage(60, 16)), (3, 3, passage(60, 16))], "doc long, tag long, text string")
+    half = substrings.seeds(rows)
+    again = half.groupBy("seed").agg(F.countDistinct("doc").alias("docs")).filter("docs > 1")
+    extended = substrings.stretches(rows, half.join(again, "seed", "left_semi").drop("seed"))
+    assert {r.doc for r in half.collect()} == {1, 2, 3} and {r.doc for r in extended.collect()} == {2, 3}
+    alike = substrings.windows(rows, extended.select("doc", "tag", "first", "n")).groupBy("first").agg(F.countDistinct("window").alias("n"))
+    assert [r.n for r in alike.collect()] == [1] * 11
+
+
 def test_quality(docs, none, texts):
     rows = {(r.doc_id, r.n_words): r for r in quality.judge(docs).collect()}
     for i, t in texts:
