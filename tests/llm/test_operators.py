@@ -3,9 +3,12 @@
 import hashlib
 import random
 import re
+import zlib
 
 import numpy as np
+import pyarrow.parquet as pq
 import pytest
+import tokenizers
 from oracle import compare, connect
 from pyspark.sql import functions as F
 
@@ -157,6 +160,42 @@ def test_personal_data(docs, none):
     assert personal_data.personal_data(none).count() == 0
 
 
+def luhn(digits):
+    doubled = [int(c) * (1 + n % 2) for n, c in enumerate(reversed(digits))]
+    return sum(d - 9 * (d > 9) for d in doubled) % 10 == 0
+
+
+def plain_base(text):
+    """Counts of the four kinds, and the base spans as they are reported, from the patterns alone."""
+    text, spans, counts = text or "", [], []
+    for kind, pattern, valid in (
+        ("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", lambda m: True),
+        ("ip", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", lambda m: all(int(x) <= 255 for x in m.split("."))),
+        ("card", r"[0-9]([\x20-]?[0-9])+", lambda m: 13 <= len(re.sub("[ -]", "", m)) <= 19 and luhn(re.sub("[ -]", "", m))),
+        ("phone", r"\+[0-9][\x20().0-9-]+[0-9]", lambda m: 9 <= len(re.sub("[^0-9]", "", m)) <= 15),
+    ):
+        found = [f"{kind}:{m.start()}:{m.end()}" for m in re.finditer(pattern, text) if valid(m[0])]
+        spans += found
+        counts.append(len(found))
+    return counts, spans
+
+
+def test_base_spans_of_all_documents(spark):
+    """Counts and digest of every document and of random strings; each base span is among the reported ones."""
+    pick = random.Random(21)
+    parts = ["4111 1111 1111 1111", "4111-1111", "+1 (152) 555-8590", "10.0.0.1", "300.1.2.3", "a.b@c.de", "@", ".", "1", "23", " ", "-", "+", "x", "\n", "é", "\U0001F600"]
+    noise = [(100_000 + n, "".join(pick.choice(parts) for _ in range(pick.randint(0, 40)))) for n in range(3000)]
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    docs = docs.unionByName(spark.createDataFrame(noise, docs.schema))
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    rows = personal_data.personal_data(docs).collect()
+    assert len(rows) == len(texts)
+    for r in rows:
+        counts, spans = plain_base(texts[r.doc_id])
+        assert [r.n_email, r.n_ip, r.n_card, r.n_phone] == counts
+        assert r.base_sha256 == hashlib.sha256(",".join(spans).encode()).hexdigest() and set(spans) <= set(r.spans.split(","))
+
+
 @pytest.mark.parametrize("text", ["a@b.c@d.ef x@y", "1.2.3.4.5.6.7.8 999.1.1.1", "4111-1111 1111 1111", "+1+2 555 0000000", "@@a@b..c"])
 def test_exact_spans_are_the_patterns(text):
     emails = [m.span() for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", text)]
@@ -174,15 +213,38 @@ def test_word_ids_are_the_library_s():
         assert list(document_ids(text, ids, 2)) == ids.tokenizer.encode(text, add_special_tokens=False).ids + [2]
 
 
-def test_packing(docs, none, texts):
-    rows = packing.pack(docs, packing.vocabulary_path()).collect()
+LIBRARY = tokenizers.Tokenizer.from_file(packing.vocabulary_path())
+
+
+def library_ids(text):
+    return LIBRARY.encode(text or "", add_special_tokens=False).ids + [2]
+
+
+def plain_pieces(texts, size):
+    """(doc_id, start, length, crc32 of the ids, ids of the document) of every run of ``size`` ids, by the tokenizer library."""
+    out = []
+    for i, t in texts:
+        ids = np.array(library_ids(t), dtype="<u4")
+        out += [(i, at, len(ids[at : at + size]), zlib.crc32(ids[at : at + size].tobytes()), len(ids)) for at in range(0, len(ids), size)]
+    return sorted(out, key=lambda r: (r[0] is None, r[0] or 0, *r[1:]))
+
+
+def windows_are_gapless(rows, capacity):
     spaces = {}
     for r in rows:
         spaces.setdefault(r.sequence_id, []).append((r.offset, r.length))
     for parts in spaces.values():
         parts.sort()
-        assert [o for o, _ in parts] == list(np.cumsum([0] + [n for _, n in parts])[:-1]) and sum(n for _, n in parts) <= 4096
-    assert sum(r.doc_tokens for r in rows if r.start == 0) == sum(r.length for r in rows)
+        if [o for o, _ in parts] != list(np.cumsum([0] + [n for _, n in parts])[:-1]) or sum(n for _, n in parts) > capacity:
+            return False
+    return True
+
+
+@pytest.mark.parametrize("capacity", [16, 4096])
+def test_packing(docs, none, texts, capacity):
+    rows = packing.pack(docs, packing.vocabulary_path(), capacity).collect()
+    found = sorted(((r.doc_id, r.start, r.length, r.ids_crc32, r.doc_tokens) for r in rows), key=lambda r: (r[0] is None, r[0] or 0, *r[1:]))
+    assert found == plain_pieces(texts, capacity) and windows_are_gapless(rows, capacity)
     assert packing.pack(none, packing.vocabulary_path()).count() == 0
 
 
@@ -201,6 +263,14 @@ def test_best_fill_is_the_best():
 def test_training_order(spark, docs, none, tmp_path, texts):
     found = training_order.materialise(docs, str(tmp_path / "a"), packing.vocabulary_path(), length=64, per_shard=16).collect()
     assert sorted(r.slot for r in found) == list(range(len(found))) and all(r.shard == r.slot // 16 and len(r.record) == 128 for r in found)
+    ids = sorted((str(r.doc_id), r.start, r.n_tokens, zlib.crc32(np.frombuffer(r.record, "<u2")[: r.n_tokens].astype("<u4").tobytes())) for r in found)
+    assert ids == sorted((str(i), at, n, crc) for i, at, n, crc, _ in plain_pieces(texts, 64))
+    assert not any(any(r.record[2 * r.n_tokens :]) for r in found)
+    files = sorted((tmp_path / "a").glob("shard=*/*.parquet"))
+    assert len(files) == (len(found) + 15) // 16 == len({f.parent for f in files})
+    for f in files:  # in slot order as they lie on disk
+        slots = pq.ParquetFile(f).read(["slot"])["slot"].to_pylist()
+        assert slots == list(range(slots[0], slots[0] + len(slots)))
     assert training_order.read_shards(spark, str(tmp_path / "a"), 20, 16).count() == len(found) - 20
     assert training_order.materialise(none, str(tmp_path / "b"), packing.vocabulary_path()).count() == 0
     assert all(sorted(training_order.permuted(np.arange(n), n)) == list(range(n)) for n in (1, 2, 5, 1000))
@@ -276,7 +346,18 @@ def test_pipeline(spark, sf):
                 low, high = sorted((group[a], group[b]))
                 group = {i: low if g == high else g for i, g in group.items()}
     kept = [(i, texts[i]) for i in sorted(set(group.values()))]
-    removed = {r[0]: r[2] for r in plain_removal(kept)}
-    got = corpus_pipeline.run(spark, sf)
-    assert {r.doc_id for r in got.collect()} == {i for i, _ in kept}
-    assert sum(removed.values()) >= 0 and got.filter("offset + length > 4096").count() == 0
+    starts = {}
+    for i, t in kept:
+        for p in range(len(words(t)) - 49):
+            starts.setdefault(tuple(words(t)[p : p + 50]), i)
+    cut = []
+    for i, t in kept:
+        w = words(t)
+        gone = {q for p in range(len(w) - 49) if starts[tuple(w[p : p + 50])] < i for q in range(p, p + 50)}
+        cut.append((i, " ".join(x for q, x in enumerate(w) if q not in gone) if gone else t))
+    assert any(a != b for a, b in zip(cut, kept, strict=True)) and len(kept) < len(good) < docs.count()
+    clean = {r.doc_id: r.text for r in personal_data.redacted(spark.createDataFrame(cut, "doc_id long, text string")).collect()}
+    got = corpus_pipeline.run(spark, sf).collect()
+    assert sorted((r.doc_id, r.start, r.length, r.ids_crc32, r.doc_tokens) for r in got) == plain_pieces(clean.items(), 4096)
+    assert windows_are_gapless(got, 4096)
+    assert not any(sum(plain_base(t)[0]) for t in clean.values()) and any(clean[i] != t for i, t in cut)
