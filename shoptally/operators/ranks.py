@@ -172,9 +172,11 @@ def melt(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ()) -> DataFram
     return wide.unpivot(list(by), list(cols), "column", "value").filter(F.col("value").isNotNull())
 
 
-def average_ranks(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Distinct ``value`` of each ``column`` with its 1-based ``average_rank``."""
-    placed = ordered_totals(counted_values(melt(df, cols), "value", ["column"]), "value", by=["column"])
+def average_ranks(df: DataFrame, cols: Sequence[str], weight: str | None = None) -> DataFrame:
+    """Distinct ``value`` of each ``column`` with its 1-based ``average_rank``; a row counts ``weight`` times."""
+    times = {"n": F.col(weight)} if weight else None
+    counts = counted_values(melt(df, cols, [weight] if weight else []), "value", ["column"], times)
+    placed = ordered_totals(counts, "value", by=["column"])
     return placed.select("column", "value", (F.col("n_before") + (F.col("n") + 1) / F.lit(2.0)).alias("average_rank"))
 
 

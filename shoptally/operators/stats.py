@@ -236,14 +236,14 @@ def spearman_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     to one row per distinct row. Mean ranks are known, so weighted sums of centred ranks are all that is left.
     """
     numbers = df.select(*[(F.col(c).cast("double") + 0.0).alias(c) for c in cols]).dropna()
-    ranks = average_ranks(numbers, cols).select(_value_key("column", "value"), "average_rank")
+    distinct = checkpointed(numbers.groupBy(*cols).agg(F.count(F.lit(1)).alias("_n")))  # read for the ranks, the sums and the count
+    ranks = average_ranks(distinct, cols, "_n").select(_value_key("column", "value"), "average_rank")
     places = F.array(*[F.struct(F.lit(i).alias("i"), _value_key(F.lit(c), c)) for i, c in enumerate(cols)])
-    distinct = numbers.groupBy(*cols).agg(F.count(F.lit(1)).alias("_n"))
     long = distinct.select(*cols, "_n", F.explode(places).alias("p")).select(*cols, "_n", "p.i", "p._key")
     ranked = join_dimension(long, checkpointed(ranks), "_key", "inner")
     wide = ranked.groupBy(*cols, "_n").agg(*[F.max(F.when(F.col("i") == i, F.col("average_rank"))).alias(f"_r{i}") for i in range(len(cols))])
     pairs = list(combinations_with_replacement(range(len(cols)), 2))
-    middle = (numbers.agg(F.count(F.lit(1))).scalar() + 1) / F.lit(2.0)
+    middle = (distinct.agg(F.coalesce(F.sum("_n"), F.lit(0))).scalar() + 1) / F.lit(2.0)
     centred = wide.select("_n", *[(F.col(f"_r{i}") - middle).alias(f"_r{i}") for i in range(len(cols))])
     sums = centred.agg(*[F.sum(F.col("_n") * F.col(f"_r{a}") * F.col(f"_r{b}")).alias(f"_s{a}_{b}") for a, b in pairs])
     corr = [
