@@ -2,16 +2,16 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 
-from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from shoptally.operators.category_rules import PENDING
 from shoptally.operators.joins import join_dimension
-from shoptally.session import checkpointed, spread
+from shoptally.session import checkpointed
 
 
 def baskets(lines: DataFrame, ticket="id", item="analytic_category", exclude: str | None = PENDING) -> DataFrame:
@@ -65,16 +65,47 @@ def drop_rare_items(df: DataFrame, share=0.01) -> DataFrame:
     return df.withColumn("items", F.array_sort(F.array_intersect("items", kept_items)))
 
 
+def _counted(df: DataFrame) -> tuple[DataFrame, int, int]:
+    """Written table ``(items, w)`` of different baskets, sorted inside, with their number; the baskets, and those that are not null."""
+    known = F.col("items").isNotNull()
+    counted = checkpointed(df.groupBy(F.array_sort("items").alias("items")).agg(F.count(F.lit(1)).alias("w")))
+    repeats = F.max(F.size("items") - F.size(F.array_distinct("items")))
+    totals = counted.agg(F.sum("w").alias("n"), F.sum(F.when(known, F.col("w"))).alias("known"), repeats.alias("repeats")).first()
+    if (totals["repeats"] or 0) > 0:
+        raise ValueError("items of a basket must be unique")
+    return counted.filter(known), totals["n"] or 0, totals["known"] or 0
+
+
 def frequent_itemsets(df: DataFrame, min_support: float, max_len: int | None = None) -> DataFrame:
     """Itemsets with ``freq``, ``support`` and the number of baskets ``n``.
 
-    Mining is the costly step and its result small, so the result is checkpointed once.
+    Baskets are read once, to count equal ones. Itemsets then grow item by item: for each frequent prefix there are the counted
+    remainders of its baskets, which name its extensions; equal remainders are counted together before the shuffle. At most
+    (mean basket size / support) single items are frequent, which bounds the list that is fetched. Each length is written once.
     """
-    n = df.count()
-    model = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=1.0).fit(spread(df.select("items")))
-    found = model.freqItemsets.select(F.array_sort("items").alias("items"), "freq")
-    if max_len:
-        found = found.filter(F.size("items") <= max_len)
+    counted, n, known = _counted(df)
+    least = math.ceil(min_support * known)
+    singles = counted.select(F.explode("items").alias("item"), "w").groupBy("item").agg(F.sum("w").alias("freq"))
+    kept = [r["item"] for r in singles.filter(F.col("freq") >= least).select("item").collect()]
+
+    def frequent(item: Column) -> Column:
+        listed = item.isin([i for i in kept if i is not None])
+        return item.isNull() | F.coalesce(listed, F.lit(False)) if None in kept else listed
+
+    none = F.slice("items", 1, 0).alias("items")
+    rows = counted.select(none, F.filter("items", frequent).alias("rest"), "w")
+    found, length = None, 0
+    while length < (max_len or math.inf):
+        place = F.posexplode("rest").alias("at", "item")
+        grown = rows.select("items", "rest", "w", place).select(
+            F.concat("items", F.array("item")).alias("items"), F.expr("slice(rest, at + 2, size(rest))").alias("rest"), "w"
+        )
+        grown = checkpointed(grown.groupBy("items", "rest").agg(F.sum("w").alias("w")))
+        level = checkpointed(grown.groupBy("items").agg(F.sum("w").alias("freq")).filter(F.col("freq") >= least))
+        found, length = level if found is None else found.unionByName(level), length + 1
+        if level.isEmpty():
+            break
+        rows = grown.filter(F.size("rest") > 0).join(level.select("items"), "items", "left_semi")
     return checkpointed(
         found.withColumns({"support": F.col("freq") / F.lit(float(n)), "n": F.lit(n).cast("long")})
     )
@@ -230,8 +261,8 @@ def normalize_rule_metrics(rules: DataFrame, n=5) -> DataFrame:
 def suggest_addons(df: DataFrame, rules: DataFrame, n=1) -> DataFrame:
     """Best rules per basket whose antecedent is in the basket and whose consequent is not.
 
-    Equal baskets are solved once. Basket items meet only the rules that start with them. The solved baskets go back to the
-    tickets as a dimension: broadcast when small, else a basket that many tickets share is kept out of the shuffle.
+    Equal baskets are solved once. Basket items meet only the rules that start with them. The solved baskets are written and go
+    back to the tickets as a dimension: broadcast when small, else a basket that many tickets share is kept out of the shuffle.
     """
     tickets = df.select("ticket", F.to_json("items").alias("_basket"))
     sets = df.select("items").distinct()
@@ -250,5 +281,5 @@ def suggest_addons(df: DataFrame, rules: DataFrame, n=1) -> DataFrame:
     best = met.filter(fits).withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= n)
     addon = F.struct("rank", "because", "suggestion", "confidence", "lift")
     solved = best.groupBy(F.to_json("items").alias("_basket")).agg(F.collect_list(addon).alias("_addons"))  # at most n each
-    found = join_dimension(tickets, solved, "_basket", "inner")
+    found = join_dimension(tickets, checkpointed(solved), "_basket", "inner")
     return found.select("ticket", F.explode("_addons").alias("a")).select("ticket", "a.*")

@@ -107,3 +107,42 @@ def test_support_falls_with_size(spark):
     freq = {frozenset(r["items"]): r["freq"] for r in bk.frequent_itemsets(df, 0.05).collect()}
     for s, f in freq.items():
         assert all(freq[s - {i}] >= f for i in s if len(s) > 1)
+
+
+def _counting(spark, rows):
+    """Baskets, and the number of times that a row of them has been computed."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(frames):
+        for frame in frames:
+            seen.add(len(frame))
+            yield frame
+
+    return spark.createDataFrame(rows, "ticket int, items array<string>").mapInPandas(counted, "ticket int, items array<string>"), seen
+
+
+def test_mining_reads_the_baskets_once(spark):
+    df, seen = _counting(spark, _twenty())
+    assert bk.frequent_itemsets(df, 0.05).count() == 7
+    assert seen.value == 20
+
+
+def test_mining_counts_all_shapes_of_baskets(spark):
+    rows = [(1, ["b", "a"]), (2, ["a", "b"]), (3, ["a", None]), (4, None), (5, []), (6, ["c"])]
+    df = spark.createDataFrame(rows, "ticket int, items array<string>")
+    found = {tuple(r["items"]): (r.freq, r.n) for r in bk.frequent_itemsets(df, 0.4).collect()}  # of five baskets
+    assert found == {("a",): (3, 6), ("b",): (2, 6), ("a", "b"): (2, 6)}
+    found = {tuple(r["items"]) for r in bk.frequent_itemsets(df, 0.2, 1).collect()}
+    assert found == {("a",), ("b",), ("c",), (None,)}
+    assert ("a", None) in {tuple(r["items"]) for r in bk.frequent_itemsets(df, 0.2).collect()}
+    assert bk.frequent_itemsets(df, 0.9).isEmpty() and bk.frequent_itemsets(df.limit(0), 0.1).isEmpty()
+    with pytest.raises(ValueError, match="unique"):
+        bk.frequent_itemsets(spark.createDataFrame([(1, ["a", "a"])], df.schema), 0.5)
+
+
+def test_solved_baskets_are_broadcast(spark):
+    df = spark.createDataFrame(_twenty(), "ticket int, items array<string>")
+    rules = bk.association_rules(bk.frequent_itemsets(df, 0.05), None)
+    plan = bk.suggest_addons(df, rules)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" not in plan  # the tickets meet written answers
+    assert bk.suggest_addons(df, rules).count() == 10
