@@ -30,10 +30,19 @@ def _fields(line, sep: str):
     return F.transform(F.split(F.regexp_replace(line, "^\ufeff", ""), re.escape(sep)), lambda f: F.trim(F.regexp_replace(f, '"', "")))
 
 
+def _mentions(fields: Sequence[str]):
+    """Whether a line, without its quotes, holds all these texts: what a header must, before it is split into fields."""
+    bare = F.translate("value", '"', "")
+    held = F.lit(True)
+    for field in fields:
+        held = held & bare.contains(field)
+    return held
+
+
 def _header(spark: SparkSession, path: str, names: dict[str, str], sep: str) -> list[str] | None:
     """Fields of the first line, anywhere in the file, that holds the first two of ``names``."""
     first, second = list(names)[:2]
-    lines = spark.read.text(path).select(_fields("value", sep).alias("f"))
+    lines = spark.read.text(path).filter(_mentions([first, second])).select(_fields("value", sep).alias("f"))
     found = lines.filter(F.array_contains("f", first) & F.array_contains("f", second)).limit(1).collect()
     return list(found[0].f) if found else None
 
@@ -64,9 +73,9 @@ def _read(spark: SparkSession, path: str, names: dict[str, str], sep: str) -> Da
     wanted = list(dict.fromkeys(c for c in columns if not c.startswith("Unnamed")))
     schema = ", ".join(f"`c{i}` string" for i in range(len(columns)))
     options = {"sep": sep, "quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": "false", "multiLine": "true"}
-    found = Records(spark, path, sep, _fields("value", sep) == F.array(*[F.lit(h) for h in header]))
+    found = Records(spark, path, sep, _mentions([second]) & (_fields("value", sep) == F.array(*[F.lit(h) for h in header])))
     is_header = F.lit(True)
-    for i, h in enumerate(header):
+    for i, h in sorted(enumerate(header), key=lambda field: -len(field[1])):  # an empty name decides little
         is_header = is_header & (F.trim(F.coalesce(F.regexp_replace(F.col(f"r.c{i}"), '"', ""), F.lit(""))) == h)
 
     def parsed(rows: DataFrame) -> DataFrame:

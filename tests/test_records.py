@@ -62,3 +62,15 @@ def test_a_large_file_is_read_by_many_tasks(spark, tmp_path, small_splits):
     path = tmp_path / "ventas.csv"
     path.write_text(HEADER + "\n" + "".join(f"{i};d;Yape;c;{i}\n" for i in range(500)))
     assert sources.read_sales(spark, str(path)).rdd.getNumPartitions() > 20
+
+
+def test_lines_are_split_into_fields_only_where_the_header_may_be(spark, tmp_path):
+    from shoptally.sources import readers
+
+    text = '﻿;;\nI"D;" Fecha";Total\n1;"a\nID;b";2\n"ID";Fecha;Total\n3;c;4\n'
+    (tmp_path / "a.csv").write_text(text, encoding="utf-8")
+    names = {"ID": "id", "Fecha": "date", "Total": "total"}
+    assert readers._header(spark, str(tmp_path), names, ";") == ["ID", "Fecha", "Total"]
+    assert sorted(tuple(r) for r in readers._read(spark, str(tmp_path), names, ";").collect()) == [("1", "a\nID;b", "2"), ("3", "c", "4")]
+    held = spark.read.text(str(tmp_path)).filter(readers._mentions(["ID", "Fecha"]))
+    assert held.count() == 2
