@@ -12,12 +12,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shoptally.llm.common import part_count, table
 from shoptally.llm.packing import vocabulary_path
-from shoptally.llm.word_tokens import document_ids, known_words
+from shoptally.llm.word_tokens import known_words
 from shoptally.session import scratch_path
 
 LENGTH = 1024
@@ -58,21 +59,28 @@ def sequences(docs: DataFrame, vocabulary: str, length=LENGTH, end_id=END_ID) ->
     ``ids`` are little-endian unsigned 16-bit integers. ``row`` is the input partition and the place in it.
     """
 
-    @F.pandas_udf("array<struct<start:long,n_tokens:long,ids:binary>>")
-    def cut(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         with known_words(vocabulary) as known:
             if len(known.ends_word) > 1 << 16:
                 raise ValueError("ids of this vocabulary do not fit two bytes")
-            for texts in batches:
-                out = []
-                for text in texts:
-                    ids = np.frombuffer(document_ids(text, known, end_id), dtype="<u4").astype("<u2")
-                    runs = [ids[i : i + length] for i in range(0, len(ids), length)]
-                    out.append([{"start": i * length, "n_tokens": len(r), "ids": r.tobytes()} for i, r in enumerate(runs)])
-                yield pd.Series(out, dtype=object)
-
-    made = docs.select("doc_id", F.explode(cut("text")).alias("s"))
-    return made.select(F.monotonically_increasing_id().alias("row"), "doc_id", "s.*")
+            for batch in batches:
+                rows, starts, sizes, runs = [], [], [], []
+                for row, text in enumerate(batch.column(1).cast(pa.binary()).to_pylist()):
+                    ids = known.encode(text.split() if text else [])
+                    ids.append(end_id)
+                    data = np.frombuffer(ids, dtype=np.uint32).astype("<u2").tobytes()
+                    for start in range(0, len(ids), length):
+                        rows.append(row)
+                        starts.append(start)
+                        sizes.append(min(length, len(ids) - start))
+                        runs.append(data[2 * start : 2 * (start + length)])
+                doc_ids = batch.column(0).take(pa.array(rows, pa.int64()))
+                made = [doc_ids, pa.array(starts, pa.int64()), pa.array(sizes, pa.int64()), pa.array(runs, pa.binary())]
+                yield pa.RecordBatch.from_arrays(made, names=["doc_id", "start", "n_tokens", "ids"])
+
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    made = docs.select("doc_id", F.col("text").cast("string").alias("text")).mapInArrow(cut, f"doc_id {kind}, start long, n_tokens long, ids binary")
+    return made.select(F.monotonically_increasing_id().alias("row"), "*")
 
 
 def ordered(made: DataFrame, key=KEY, per_shard=PER_SHARD) -> DataFrame:
