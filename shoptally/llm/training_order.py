@@ -13,6 +13,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,6 +27,7 @@ PER_SHARD = 8192
 END_ID = 2
 KEY = 20_240_601
 ROUNDS = 6
+SLICE_BYTES = 4_000_000  # of texts that are encoded at once
 
 
 def _round(half: np.ndarray, key: int, number: int) -> np.ndarray:
@@ -53,6 +55,16 @@ def permuted(numbers: np.ndarray, total: int, key=KEY) -> np.ndarray:
     return out.astype(np.int64)
 
 
+def slices(batch: pa.RecordBatch, most=SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """Runs of rows of a batch ``(doc_id, text)`` with up to ``most`` bytes of text, or of one longer text."""
+    sizes = pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy().astype(np.int64)
+    ends, start = np.cumsum(sizes), 0
+    while start < batch.num_rows:
+        stop = max(start + 1, int(np.searchsorted(ends, ends[start] - sizes[start] + most, side="right")))
+        yield batch.slice(start, stop - start)
+        start = stop
+
+
 def sequences(docs: DataFrame, vocabulary: str, length=LENGTH, end_id=END_ID) -> DataFrame:
     """``(row, doc_id, start, n_tokens, ids)`` of every row of ``docs (doc_id, text)``: its ids in runs of ``length``.
 
@@ -64,19 +76,23 @@ def sequences(docs: DataFrame, vocabulary: str, length=LENGTH, end_id=END_ID) ->
             if len(known.ends_word) > 1 << 16:
                 raise ValueError("ids of this vocabulary do not fit two bytes")
             for batch in batches:
-                rows, starts, sizes, runs = [], [], [], []
-                for row, text in enumerate(batch.column(1).cast(pa.binary()).to_pylist()):
-                    ids = known.encode(text.split() if text else [])
-                    ids.append(end_id)
-                    data = np.frombuffer(ids, dtype=np.uint32).astype("<u2").tobytes()
-                    for start in range(0, len(ids), length):
-                        rows.append(row)
-                        starts.append(start)
-                        sizes.append(min(length, len(ids) - start))
-                        runs.append(data[2 * start : 2 * (start + length)])
-                doc_ids = batch.column(0).take(pa.array(rows, pa.int64()))
-                made = [doc_ids, pa.array(starts, pa.int64()), pa.array(sizes, pa.int64()), pa.array(runs, pa.binary())]
-                yield pa.RecordBatch.from_arrays(made, names=["doc_id", "start", "n_tokens", "ids"])
+                for part in slices(batch):
+                    ids, at = known.encode_texts(part.column(1))
+                    # each text's ids, and the end id after them
+                    ended = np.full(len(ids) + part.num_rows, end_id, dtype="<u2")
+                    keep = np.ones(len(ended), dtype=bool)
+                    at = at + np.arange(len(at))  # the end ids before a text move it
+                    keep[at[1:] - 1] = False
+                    ended[keep] = ids
+                    sizes = np.diff(at)
+                    runs = -(-sizes // length)
+                    row = np.repeat(np.arange(part.num_rows), runs)
+                    start = length * (np.arange(len(row)) - np.repeat(np.cumsum(runs) - runs, runs))
+                    stop = np.minimum(start + length, sizes[row])
+                    places = np.concatenate([[0], np.cumsum(stop - start)]) * 2  # runs lie one after the other, as the texts do
+                    data = pa.Array.from_buffers(pa.large_binary(), len(row), [None, pa.py_buffer(places.astype(np.int64)), pa.py_buffer(ended)])
+                    made = [part.column(0).take(pa.array(row)), pa.array(start), pa.array(stop - start), data.cast(pa.binary())]
+                    yield pa.RecordBatch.from_arrays(made, names=["doc_id", "start", "n_tokens", "ids"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     made = docs.select("doc_id", F.col("text").cast("string").alias("text")).mapInArrow(cut, f"doc_id {kind}, start long, n_tokens long, ids binary")

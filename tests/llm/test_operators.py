@@ -6,6 +6,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
 import tokenizers
@@ -213,6 +214,29 @@ def test_word_ids_are_the_library_s():
         assert list(document_ids(text, ids, 2)) == ids.tokenizer.encode(text, add_special_tokens=False).ids + [2]
 
 
+def test_ids_of_many_texts_are_the_library_s():
+    ids = WordIds(packing.vocabulary_path())
+    pick = random.Random(6)
+    parts = ["a", "The", "ing", " ", " ", "\n", "\x85", "\xa0", "\x1c", "é", "É", "ß", "µ", "×", "́", "̸", "İ", "Σ", "1", ".", ">", "'s", "'!", "…", "<|endoftext|>", "</w>", "가"]
+    texts = [None, "", " \n"] + ["".join(pick.choice(parts) for _ in range(pick.randint(0, 20))) for _ in range(2000)]
+    found, at = ids.encode_texts(pa.array(["left out", *texts])[1:])
+    for i, text in enumerate(texts):
+        assert found[at[i] : at[i + 1]].tolist() == ids.tokenizer.encode(text or "", add_special_tokens=False).ids
+    assert at[-1] == len(found) and not ids.known
+    for nothing in ([], [None, ""]):
+        found, at = ids.encode_texts(pa.array(nothing, pa.string()))
+        assert len(found) == 0 and at.tolist() == [0] * (len(nothing) + 1)
+
+
+def test_slices_hold_every_row_once():
+    sizes = [0, 5, 3, 40, 0, 2, 2, 2, 9, 10]
+    batch = pa.record_batch({"doc_id": range(len(sizes) + 1), "text": [*["x" * n for n in sizes], None]})
+    parts = list(training_order.slices(batch[1:], 10))
+    assert [r for p in parts for r in p.column(0).to_pylist()] == list(range(1, len(sizes) + 1))
+    texts = [[len(t or "") for t in p.column(1).to_pylist()] for p in parts]
+    assert all(sum(t) <= 10 or len(t) == 1 for t in texts) and len(parts) == 5
+
+
 LIBRARY = tokenizers.Tokenizer.from_file(packing.vocabulary_path())
 
 
