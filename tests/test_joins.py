@@ -30,6 +30,17 @@ def test_large_dimension(spark, small_limit, how):
     assert sorted(map(str, got.select("row", "k", "v").collect())) == sorted(map(str, want.select("row", "k", "v").collect()))
 
 
+@pytest.mark.parametrize("how", ["left", "inner"])
+def test_large_dimension_of_two_columns(spark, small_limit, how):
+    facts, dim = _tables(spark)
+    facts, dim = (t.withColumns({"a": F.col("k") / 2, "b": -F.col("k") % 7}).drop("k") for t in (facts, dim))
+    got = joins.join_dimension(facts, dim, ["a", "b"], how, heavy=[(0.5, -1)])
+    want = facts.join(dim, ["a", "b"], how)
+    assert sorted(map(str, got.select("row", "a", "b", "v").collect())) == sorted(map(str, want.select("row", "a", "b", "v").collect()))
+    with pytest.raises(ValueError):
+        joins.join_dimension(facts, dim, ["a", "b"], how)
+
+
 def test_heavy_keys_are_bounded(spark):
     facts, _ = _tables(spark)
     assert joins.heavy_keys(facts, "k", 0.01) == [1]
